@@ -24,9 +24,18 @@ CHUNK, CHUNK_SUM, CHUNK_BEFORE = "_chunk", "_chunk_sum", "_chunk_before"
 MAX_BUFFERED_VALUES = 2_000_000
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition on ``keys`` in which NULL equals NULL."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; the keys come from the left.
+
+    The right keys are renamed first, as the two sides often share an origin.
+    """
+    other = {k: f"_right_{k}" for k in keys}
+    match = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(other[k])) for k in keys]
+    )
+    return left.join(right.withColumnsRenamed(other), match, how).drop(*other.values())
 
 
 def running_total(
@@ -64,11 +73,9 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = cut.withColumn("running", F.sum(amount).over(inside))
-    joined = local.join(offsets, same_keys(local, offsets, [CHUNK, *keys]))
+    joined = null_safe_join(local, offsets, [CHUNK, *keys])
     return joined.select(
-        *[local[c] for c in df.columns],
-        (local["running"] + offsets[CHUNK_BEFORE]).alias("running"),
-        offsets["total"],
+        *df.columns, (F.col("running") + F.col(CHUNK_BEFORE)).alias("running"), "total"
     )
 
 

@@ -13,13 +13,18 @@ from cohortry.sources.tables import Cohort
 PANEL_COLUMNS = ("gene_id", "gene_symbol", "chromosome", "is_actionable", "targeted_therapy")
 
 VIEW_COLUMNS = (
-    "patient_id", "primary_cancer_type", "stage_at_diagnosis", "collection_date", "assay",
-    "tumor_fraction", "lab_site", "gene_symbol", "chromosome", "position", "variant_type",
-    "consequence", "vaf", "read_depth", "alt_read_count", "mapping_quality",
+    "specimen_id", "patient_id", "primary_cancer_type", "stage_at_diagnosis", "collection_date",
+    "assay", "tumor_fraction", "lab_site", "gene_symbol", "chromosome", "position",
+    "variant_type", "consequence", "vaf", "read_depth", "alt_read_count", "mapping_quality",
     "clinical_significance", "is_actionable", "targeted_therapy",
 )
 
 
+def keyed(cohort: Cohort, columns: Sequence[str]) -> list[str]:
+    """The key of a call followed by the other columns."""
+    return [*cohort.call_key, *[c for c in columns if c not in cohort.call_key]]
+
+
 def labelled_calls(calls: DataFrame, ladder: FloorLadder) -> DataFrame:
     """Calls with ``call_filter``; a stored one is kept."""
     if "call_filter" in calls.columns:
@@ -74,7 +79,7 @@ def reportable_view(cohort: Cohort) -> DataFrame:
     full = calls.withColumn("clinical_significance", clinical_significance(cohort, calls)).join(
         draws, "specimen_id"
     )
-    return full.select(*cohort.call_key, *[c for c in VIEW_COLUMNS if c not in cohort.call_key])
+    return full.select(*keyed(cohort, VIEW_COLUMNS))
 
 
 def restrict_to(df: DataFrame, picked: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortry.functions.hashing import key_hash
-from cohortry.operators.ranking import same_keys
+from cohortry.operators.ranking import null_safe_join
 
 HASH, BUCKET = "_hash", "_bucket"
 HASH_BITS, BUCKET_BITS = 31, 16
@@ -57,9 +57,7 @@ def cut_points(
         .select(*by, f"_edge.{BUCKET}", "_edge._need")
     )
     # Only the rows of the edge bucket, 1 in 65,536, are ranked.
-    inside = slim.join(edge, same_keys(slim, edge, [*by, BUCKET]), "inner").select(
-        *[slim[c] for c in slim.columns], edge["_need"]
-    )
+    inside = null_safe_join(slim, edge, [*by, BUCKET])
     rank = F.row_number().over(Window.partitionBy(*by, BUCKET).orderBy(_place(key)))
     return (
         inside.withColumn("_rank", rank)
@@ -88,10 +86,9 @@ def stratified_split(
     """Flag the same share of each label as test rows, exact to one row."""
     hashed = df.withColumn(HASH, key_hash(*key, salt=salt))
     cut = cut_points(hashed, key, lambda size: F.round(size * F.lit(test_share)), [label])
-    cut = cut.select(F.col(label).alias("_label"), "_cut")
-    flagged = hashed.join(cut, hashed[label].eqNullSafe(cut["_label"]), "left")
+    flagged = null_safe_join(hashed, cut, [label], "left")
     is_test = F.coalesce(_place(key) <= F.col("_cut"), F.lit(False))
-    return flagged.withColumn(name, is_test).drop(HASH, "_label", "_cut")
+    return flagged.withColumn(name, is_test).drop(HASH, "_cut")
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
@@ -105,5 +102,4 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    weights = class_weights(df, label, name).withColumnRenamed(label, "_class")
-    return df.join(weights, df[label].eqNullSafe(weights["_class"])).drop("_class")
+    return null_safe_join(df, class_weights(df, label, name), [label])
