@@ -87,11 +87,11 @@ def train(
 ) -> Trained:
     """Fit on three quarters of each class, measure on the rest.
 
-    The frame is checkpointed once, so that all passes of the fit read the
-    same rows and a lost executor does not draw the sample again. A model that
-    predicts a single class is refused.
+    The frame and its split are checkpointed, so that all passes of the fit
+    read the same rows and a lost executor does not draw the sample again. A
+    model that predicts a single class is refused.
     """
-    split = checkpointed(stratified_split(frame, label, test_share, key))
+    split = checkpointed(stratified_split(checkpointed(frame), label, test_share, key))
     classes = split.filter(~F.col("is_test")).select(label).distinct().limit(2).count()
     if classes < 2:
         raise SingleClassError(f"label {label!r} has a single class in the training rows")

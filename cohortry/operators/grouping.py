@@ -20,11 +20,14 @@ from cohortry.operators.ranking import median_of_counts, small_domain
 
 @dataclass(frozen=True)
 class Measure:
-    """One named statistic. ``decimals`` makes sums of fixed-scale data exact."""
+    """One named statistic of a column or a Spark SQL expression.
+
+    ``decimals`` makes sums of fixed-scale data exact.
+    """
 
     name: str
     kind: str
-    value: Column | None = None
+    value: Column | str | None = None
     decimals: int | None = None
 
 
@@ -32,45 +35,45 @@ def rows(name: str) -> Measure:
     return Measure(name, "rows")
 
 
-def count_where(name: str, condition: Column) -> Measure:
+def count_where(name: str, condition: Column | str) -> Measure:
     return Measure(name, "count_where", condition)
 
 
 def total(name: str, value: Column | str, decimals: int | None = None) -> Measure:
-    return Measure(name, "total", _column(value), decimals)
+    return Measure(name, "total", value, decimals)
 
 
 def mean(name: str, value: Column | str, decimals: int | None = None) -> Measure:
-    return Measure(name, "mean", _column(value), decimals)
+    return Measure(name, "mean", value, decimals)
 
 
 def largest(name: str, value: Column | str) -> Measure:
-    return Measure(name, "largest", _column(value))
+    return Measure(name, "largest", value)
 
 
 def smallest(name: str, value: Column | str) -> Measure:
-    return Measure(name, "smallest", _column(value))
+    return Measure(name, "smallest", value)
 
 
 def any_true(name: str, value: Column | str) -> Measure:
-    return Measure(name, "any_true", _column(value))
+    return Measure(name, "any_true", value)
 
 
 def distinct(name: str, value: Column | str) -> Measure:
-    return Measure(name, "distinct", _column(value))
+    return Measure(name, "distinct", value)
 
 
 def median(name: str, value: Column | str) -> Measure:
-    return Measure(name, "median", _column(value))
+    return Measure(name, "median", value)
 
 
-def rate(name: str, condition: Column) -> Measure:
+def rate(name: str, condition: Column | str) -> Measure:
     """Share of rows for which the condition holds, 0 to 100, unrounded."""
     return Measure(name, "rate", condition)
 
 
 def _column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+    return F.expr(value) if isinstance(value, str) else value
 
 
 def _summand(measure: Measure, column: str) -> Column:
@@ -121,7 +124,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure])
     keys = list(keys)
     inputs = {m.name: f"_in_{i}" for i, m in enumerate(measures)}
     prepared = df.select(
-        *keys, *[m.value.alias(inputs[m.name]) for m in measures if m.value is not None]
+        *keys, *[_column(m.value).alias(inputs[m.name]) for m in measures if m.value is not None]
     )
     additive = [m for m in measures if m.kind not in ("distinct", "median")]
     detailed = [m for m in measures if m.kind in ("distinct", "median")]

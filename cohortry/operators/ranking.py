@@ -133,7 +133,7 @@ def median_of_counts(
     """
     counts = counts.filter(F.col(value).isNotNull())
     if small_domain(counts.schema[value].dataType):
-        return counts.groupBy(*keys).agg(F.percentile(value, F.lit(0.5), n).alias(name))
+        return counts.groupBy(*keys).agg(F.percentile(F.col(value), F.lit(0.5), F.col(n)).alias(name))
     ranked = running_total(counts, keys, [value], n)
 
     def at(rank: Column) -> Column:

@@ -523,15 +523,20 @@ def training_frame(c: Cohort) -> DataFrame:
     return w.training_frame(c)
 
 
+def _drawn(c: Cohort) -> DataFrame:
+    """The training frame, drawn once: at most 50,000 rows that are read often."""
+    return checkpointed(w.training_frame(c))
+
+
 @query
 def stratified_split(c: Cohort) -> DataFrame:
-    split = sampling.stratified_split(w.training_frame(c), LABEL, 0.25, c.call_key)
+    split = sampling.stratified_split(_drawn(c), LABEL, 0.25, c.call_key)
     return split.select(*c.call_key, LABEL, "is_test")
 
 
 @query
 def class_weights(c: Cohort) -> DataFrame:
-    weights = sampling.class_weights(w.training_frame(c), LABEL)
+    weights = sampling.class_weights(_drawn(c), LABEL)
     return weights.select(LABEL, exact_round(F.col("weight"), 6).alias("weight"))
 
 
@@ -735,3 +740,11 @@ def sv_parity(c: Cohort) -> DataFrame:
     here, there = layer.run(*ask), SemanticQuery(layer.model, copy).run(*ask)
     columns = ["lab_site", "reportable_calls_per_specimen"]
     return w.parity(_rounded(here), _rounded(there), columns)
+
+
+@query
+def sv_describe(c: Cohort) -> DataFrame:
+    """The model, with the number of rows that fill each of its fields."""
+    layer = semantic(c)
+    described = layer.describe(c.spark)
+    return ranking.null_safe_join(described, layer.filled(), ["table_name", "name"], "left")

@@ -122,21 +122,34 @@ class SemanticQuery:
         for r in near:
             frame = frame.filter(r.test())
         if far:
-            # All filters hold on the same child row, so they go in together.
+            # All far filters must hold on one and the same child row.
             child = model.bridge(table.name, {r.table for r in far})
             keys = [_name(table.name, f"pk_{k}") for k in table.primary_key]
-            needed: dict[str, dict[str, Column]] = {
-                table.name: {n: F.col(k) for n, k in zip(keys, table.primary_key, strict=True)}
-            }
-            along = [r for r in restrictions if model.path(child, r.table) is not None]
-            for r in along:
+            needed = self._keys_from(child, table, keys)
+            for r in far:
                 needed.setdefault(r.table, {})[r.column] = field_column(r.field)
             rows = self.attach(child, needed)
-            for r in along:
+            for r in far:
                 rows = rows.filter(r.test())
             frame = frame.join(rows.select(*keys).distinct(), keys, "left_semi")
         return frame
 
+    def _keys_from(
+        self, child: str, table: LogicalTable, names: Sequence[str]
+    ) -> dict[str, dict[str, Column]]:
+        """Where a child finds the primary key of ``table``.
+
+        The foreign key next to it will do; the table itself is joined only if
+        that key does not cover the primary key.
+        """
+        last = self.model.path(child, table.name)[-1]
+        foreign = {b: a for a, b in last.columns}
+        if set(foreign) == set(table.primary_key):
+            owner, source = last.many, foreign
+        else:
+            owner, source = table.name, {k: k for k in table.primary_key}
+        return {owner: {n: F.col(source[k]) for n, k in zip(names, table.primary_key, strict=True)}}
+
     # -- the query ---------------------------------------------------------
 
     def run(
@@ -309,6 +322,18 @@ class SemanticQuery:
             F.count_if(has_null).alias("null_keys"),
         ).select(F.lit(table).alias("table_name"), "n_rows", "repeated_keys", "null_keys")
 
+    def filled(self) -> DataFrame:
+        """How many rows of its table each field fills; one pass per table."""
+        frames = []
+        for t in self.model.tables:
+            if not t.fields:
+                continue
+            names = [f.name for f in t.fields]
+            counts = self.base(t.name).agg(*[F.count(field_column(f)).alias(f.name) for f in t.fields])
+            pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("filled")) for n in names])
+            frames.append(counts.select(F.lit(t.name).alias("table_name"), F.inline(pairs)))
+        return reduce(DataFrame.unionByName, frames)
+
     def describe(self, spark: SparkSession) -> DataFrame:
         """The model as rows: one per field, metric and relationship."""
         rows = []

@@ -56,3 +56,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
+
+
+def session_context(spark: SparkSession) -> DataFrame:
+    """Who runs the session and where; Spark knows no roles or warehouses."""
+    return spark.sql(
+        "SELECT current_user() AS whoami, current_catalog() AS catalog, "
+        "current_schema() AS working_in, version() AS engine"
+    )
