@@ -22,7 +22,9 @@ from cohortry.operators.ranking import median_of_counts, small_domain
 class Measure:
     """One named statistic of a column or a Spark SQL expression.
 
-    ``decimals`` makes sums of fixed-scale data exact.
+    ``decimals`` makes sums exact, whatever their order, for data that has at
+    most so many decimals: they are summed as integers of the smallest unit. A
+    sum beyond the bigint range is an error, never a wrong value.
     """
 
     name: str
@@ -76,10 +78,10 @@ def _column(value: Column | str) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
 
-def _summand(measure: Measure, column: str) -> Column:
-    value = F.col(column)
+def _input(measure: Measure) -> Column:
+    value = _column(measure.value)
     if measure.decimals is not None:
-        value = value.cast(f"decimal(18,{measure.decimals})")
+        value = F.rint(value.cast("double") * F.lit(10.0**measure.decimals)).cast("bigint")
     return value
 
 
@@ -93,9 +95,9 @@ def _partials(measure: Measure, column: str) -> dict[str, Column]:
     if measure.kind == "rate":
         return {"n": F.count_if(value), "of": F.count(F.lit(1))}
     if measure.kind == "total":
-        return {"sum": F.sum(_summand(measure, column))}
+        return {"sum": F.sum(value)}
     if measure.kind == "mean":
-        return {"sum": F.sum(_summand(measure, column)), "n": F.count(value)}
+        return {"sum": F.sum(value), "n": F.count(value)}
     if measure.kind == "smallest":
         return {"min": F.min(value)}
     if measure.kind in ("largest", "any_true"):
@@ -107,13 +109,13 @@ _MERGE = {"n": F.sum, "of": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
 def _finish(measure: Measure, parts: dict[str, Column]) -> Column:
+    if measure.decimals is not None:
+        parts = parts | {"sum": parts["sum"].cast("double") / F.lit(10.0**measure.decimals)}
     if measure.kind == "mean":
         return F.try_divide(parts["sum"].cast("double"), parts["n"].cast("double"))
     if measure.kind == "rate":
         return F.try_divide(parts["n"].cast("double") * 100.0, parts["of"].cast("double"))
     (only,) = parts.values()
-    if measure.kind == "total" and measure.decimals is not None:
-        return only.cast("double")
     if measure.kind in ("rows", "count_where"):
         return F.coalesce(only, F.lit(0)).cast("bigint")
     return only
@@ -124,7 +126,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure])
     keys = list(keys)
     inputs = {m.name: f"_in_{i}" for i, m in enumerate(measures)}
     prepared = df.select(
-        *keys, *[_column(m.value).alias(inputs[m.name]) for m in measures if m.value is not None]
+        *keys, *[_input(m).alias(inputs[m.name]) for m in measures if m.value is not None]
     )
     additive = [m for m in measures if m.kind not in ("distinct", "median")]
     detailed = [m for m in measures if m.kind in ("distinct", "median")]

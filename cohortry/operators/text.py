@@ -22,26 +22,27 @@ GAP = r"[ \t\r\n]+"
 WORD = r"[\p{L}]+"
 
 
-def extract(text: Column, fields: dict[str, tuple[str, str]]) -> Column:
+def extract(text: Column, fields: dict[str, tuple[str, ...]]) -> Column:
     """One struct of typed fields, each from the first match of its pattern.
 
-    ``fields`` maps a name to (pattern with one group, type). A field that is
-    absent, or does not fit its type, is NULL.
+    ``fields`` maps a name to (pattern with one group, type) and, optionally, a
+    literal that every match contains: texts without it skip the pattern. A
+    field that is absent, or does not fit its type, is NULL.
     """
 
-    def field(pattern: str, dtype: str) -> Column:
+    def field(pattern: str, dtype: str, literal: str | None = None) -> Column:
         found = F.regexp_extract(text, pattern, 1)
-        return F.when(found != "", found).try_cast(dtype)
+        if literal is not None:
+            found = F.when(F.contains(text, F.lit(literal)), found)
+        return F.nullif(found, F.lit("")).try_cast(dtype)
 
-    return F.struct(*[field(p, t).alias(name) for name, (p, t) in fields.items()])
+    return F.struct(*[field(*spec).alias(name) for name, spec in fields.items()])
 
 
 def occurrences(text: Column, phrase: str) -> Column:
     """Non-overlapping occurrences of a literal phrase, upper and lower case alike."""
-    phrase = phrase.lower()
-    lowered = F.lower(text)
-    removed = F.replace(lowered, F.lit(phrase), F.lit(""))
-    return ((F.length(lowered) - F.length(removed)) / F.lit(len(phrase))).cast("bigint")
+    quoted = r"\Q" + phrase.lower() + r"\E"
+    return F.regexp_count(F.lower(text), F.lit(quoted)).cast("bigint")
 
 
 def classify(
@@ -52,15 +53,17 @@ def classify(
     Without any match the result is ``otherwise``, or the first label if that
     is not given. A NULL text has no label.
     """
+    # No counting happens inside a conditional branch: Spark then lowers the
+    # text once for all phrases.
     scored = []
     for place, (label, phrases) in enumerate(labels.items()):
         hits = sum((occurrences(text, p) for p in phrases), F.lit(0).cast("bigint"))
-        scored.append(F.struct(hits.alias("hits"), F.lit(-place).alias("place"), F.lit(label).alias("label")))
+        known = F.when(text.isNotNull(), F.lit(label))
+        scored.append(F.struct(hits.alias("hits"), F.lit(-place).alias("place"), known.alias("label")))
     best = F.array_max(F.array(*scored))
-    label = best["label"]
-    if otherwise is not None:
-        label = F.when(best["hits"] > 0, label).otherwise(F.lit(otherwise))
-    return F.when(text.isNotNull(), label)
+    if otherwise is None:
+        return best["label"]
+    return F.when(best["hits"] > 0, best["label"]).when(text.isNotNull(), F.lit(otherwise))
 
 
 def first_words(text: Column, k: int) -> Column:

@@ -423,9 +423,9 @@ def top_confidence(c: Cohort) -> DataFrame:
 
 # Fields looked for and the words that tell the labels apart.
 FIELDS = {
-    "email": (r"([A-Za-z0-9_.]+@[A-Za-z0-9.]+[a-z])", "string"),
-    "phone": (r"([0-9]{3}-[0-9]{4})", "string"),
-    "licensed": (r"([Ll]icense)", "string"),
+    "email": (r"([A-Za-z0-9_.]+@[A-Za-z0-9.]+[a-z])", "string", "@"),
+    "phone": (r"([0-9]{3}-[0-9]{4})", "string", "-"),
+    "licensed": (r"([Ll]icense)", "string", "icense"),
     "first_number": (r"([0-9]{1,9})", "bigint"),
     "opening": (r"^([^.!?\r\n]+)", "string"),
 }
