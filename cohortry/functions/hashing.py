@@ -19,13 +19,18 @@ INCREMENT = 12345
 
 
 def key_hash(*columns: str, salt: int = 0) -> Column:
-    """Integer hash in [0, 2^31) of one or several integer key columns."""
+    """Integer hash in [0, 2^31) of one or several integer key columns.
 
-    def step(state: Column, column: str) -> Column:
-        mixed = state + F.pmod(F.col(column).cast("bigint"), F.lit(MODULUS))
-        return (mixed * MULTIPLIER + INCREMENT) % MODULUS
+    The upper and the lower 31 bits of a key go in one after the other, so
+    keys that differ only far up do not all fall on one value.
+    """
 
-    return reduce(step, columns, F.lit(salt).cast("bigint"))
+    def step(state: Column, part: Column) -> Column:
+        return ((state + F.pmod(part, F.lit(MODULUS))) * MULTIPLIER + INCREMENT) % MODULUS
+
+    keys = [F.col(c).cast("bigint") for c in columns]
+    parts = [part for key in keys for part in (F.shiftright(key, 31), key)]
+    return reduce(step, parts, F.lit(salt).cast("bigint"))
 
 
 def key_uniform(*columns: str, salt: int = 0) -> Column:

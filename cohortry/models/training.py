@@ -84,6 +84,7 @@ def with_probability(scored: DataFrame, name: str = "score") -> DataFrame:
 
 def train(
     frame: DataFrame, pipeline: Pipeline, label: str, key: Sequence[str], test_share: float = 0.25,
+    tie_break: Sequence[str] = (),
 ) -> Trained:
     """Fit on three quarters of each class, measure on the rest.
 
@@ -91,7 +92,9 @@ def train(
     read the same rows and a lost executor does not draw the sample again. A
     model that predicts a single class is refused.
     """
-    split = checkpointed(stratified_split(checkpointed(frame), label, test_share, key))
+    split = checkpointed(
+        stratified_split(checkpointed(frame), label, test_share, key, tie_break=tie_break)
+    )
     classes = split.filter(~F.col("is_test")).select(label).distinct().limit(2).count()
     if classes < 2:
         raise SingleClassError(f"label {label!r} has a single class in the training rows")

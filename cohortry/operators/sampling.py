@@ -32,7 +32,7 @@ def cut_points(
 ) -> DataFrame:
     """Per group, the place of the row that ``take(group size)`` rows reach.
 
-    ``hashed`` carries the hash column; ``key`` must be unique. Groups for
+    ``hashed`` carries the hash column; ``key`` must be unique in a group. Groups for
     which nothing is to be taken have no row in the result.
     """
     by = list(by)
@@ -66,13 +66,20 @@ def cut_points(
     )
 
 
-def sample_rows(df: DataFrame, n: int, key: Sequence[str], salt: int = 0) -> DataFrame:
-    """Exactly ``n`` rows (all, if there are fewer), the same ones every time."""
+def sample_rows(
+    df: DataFrame, n: int, key: Sequence[str], tie_break: Sequence[str] = (), salt: int = 0
+) -> DataFrame:
+    """Exactly ``n`` rows (all, if there are fewer), the same ones every time.
+
+    Rows are ordered by the hash of ``key``, then by ``key`` and ``tie_break``,
+    which together must be unique.
+    """
     if n <= 0:
         return df.limit(0)
     hashed = df.withColumn(HASH, key_hash(*key, salt=salt))
-    cut = cut_points(hashed, key, lambda size: F.least(size, F.lit(n)))
-    return hashed.filter(_place(key) <= cut.scalar()).drop(HASH)
+    order = list(dict.fromkeys([*key, *tie_break]))
+    cut = cut_points(hashed, order, lambda size: F.least(size, F.lit(n)))
+    return hashed.filter(_place(order) <= cut.scalar()).drop(HASH)
 
 
 def stratified_split(
@@ -81,13 +88,15 @@ def stratified_split(
     test_share: float,
     key: Sequence[str],
     name: str = "is_test",
+    tie_break: Sequence[str] = (),
     salt: int = 0,
 ) -> DataFrame:
     """Flag the same share of each label as test rows, exact to one row."""
     hashed = df.withColumn(HASH, key_hash(*key, salt=salt))
-    cut = cut_points(hashed, key, lambda size: F.round(size * F.lit(test_share)), [label])
+    order = list(dict.fromkeys([*key, *tie_break]))
+    cut = cut_points(hashed, order, lambda size: F.round(size * F.lit(test_share)), [label])
     flagged = null_safe_join(hashed, cut, [label], "left")
-    is_test = F.coalesce(_place(key) <= F.col("_cut"), F.lit(False))
+    is_test = F.coalesce(_place(order) <= F.col("_cut"), F.lit(False))
     return flagged.withColumn(name, is_test).drop(HASH, "_cut")
 
 

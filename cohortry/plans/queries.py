@@ -306,7 +306,7 @@ def numbered_draws(c: Cohort) -> DataFrame:
 
 @query
 def hash_sample(c: Cohort) -> DataFrame:
-    drawn = sampling.sample_rows(c.calls, 20_000, c.call_key)
+    drawn = sampling.sample_rows(c.calls, 20_000, c.call_key, c.call_order)
     return relational.passing_calls(drawn, c.ladder).select(*c.call_key, "vaf")
 
 
@@ -530,7 +530,9 @@ def _drawn(c: Cohort) -> DataFrame:
 
 @query
 def stratified_split(c: Cohort) -> DataFrame:
-    split = sampling.stratified_split(_drawn(c), LABEL, 0.25, c.call_key)
+    split = sampling.stratified_split(
+        _drawn(c), LABEL, 0.25, c.call_key, tie_break=w.FEATURES
+    )
     return split.select(*c.call_key, LABEL, "is_test")
 
 
@@ -572,7 +574,9 @@ QUERIES["confusion_rates"] = QUERIES.pop("confusion_rates_")
 
 
 def _fit(c: Cohort, pipeline) -> training.Trained:
-    return training.train(w.training_frame(c), pipeline, LABEL, c.call_key)
+    return training.train(
+        w.training_frame(c), pipeline, LABEL, c.call_key, tie_break=w.FEATURES
+    )
 
 
 def _holdout(c: Cohort, pipeline) -> DataFrame:
@@ -636,7 +640,7 @@ def model_score(c: Cohort) -> DataFrame:
 def model_flag_rate(c: Cohort) -> DataFrame:
     """Share of a sample of passing calls that the default model flags."""
     registry = _registry_with_model(c)
-    drawn = sampling.sample_rows(c.calls, 20_000, c.call_key)
+    drawn = sampling.sample_rows(c.calls, 20_000, c.call_key, c.call_order)
     calls = relational.passing_calls(drawn, c.ladder)
     scored = registry.score(calls.select(*w.FEATURES), "calls_clf")
     return scored.agg(

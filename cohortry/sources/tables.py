@@ -18,14 +18,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.functions.ladders import FloorLadder
-from cohortry.functions.scoring import ScoreCaps
+from cohortry.functions.scoring import MEASURES, ScoreCaps
 
 TABLE_NAMES = ("calls", "specimens", "patients", "panel", "reports")
 
 
 @dataclass(frozen=True)
 class Cohort:
-    """Lazy tables plus the settings that belong to their units."""
+    """Lazy tables plus the settings that belong to their units.
+
+    ``call_key`` names a call. ``call_order`` puts calls in a total order: it is
+    the key, followed by measures where a table may repeat a key.
+    """
 
     calls: DataFrame
     specimens: DataFrame
@@ -33,6 +37,7 @@ class Cohort:
     panel: DataFrame
     reports: DataFrame
     call_key: tuple[str, ...]
+    call_order: tuple[str, ...]
     ladder: FloorLadder
     caps: ScoreCaps
     strong_consequences: tuple[str, ...]
@@ -82,6 +87,7 @@ def stored(spark: SparkSession, name_of: dict[str, str] | None = None) -> Cohort
     return Cohort(
         **frames,
         call_key=("variant_call_id",),
+        call_order=("variant_call_id",),
         ladder=NATURAL_LADDER,
         caps=NATURAL_CAPS,
         strong_consequences=NATURAL_STRONG,
@@ -99,6 +105,7 @@ MAPPED_LADDER = FloorLadder(
     ),
     otherwise="PASS",
 )
+MAPPED_KEY = ("specimen_id", "line_number", "gene_id", "position")
 MAPPED_CAPS = ScoreCaps(vaf=0.10, depth=50000.0, alt_reads=50.0, mapq_floor=0.0, mapq_span=0.08)
 
 
@@ -156,7 +163,8 @@ def mapped(spark: SparkSession, folder: str) -> Cohort:
         patients=patients,
         panel=panel,
         reports=reports,
-        call_key=("specimen_id", "line_number", "gene_id", "position"),
+        call_key=MAPPED_KEY,
+        call_order=(*MAPPED_KEY, *MEASURES),
         ladder=MAPPED_LADDER,
         caps=MAPPED_CAPS,
         strong_consequences=("R",),

@@ -105,11 +105,11 @@ def test_batch_form_handles_missing_values():
 def test_key_hash_matches_plain_integers_and_partitioning(spark):
     def want(*key, salt=0):
         state = salt
-        for k in key:
-            state = ((state + k % 2**31) * 1103515245 + 12345) % 2**31
+        for part in (p for k in key for p in (k >> 31, k)):
+            state = ((state + part % 2**31) * 1103515245 + 12345) % 2**31
         return state
 
-    keys = [(0, 0), (1, 2), (2**40 + 3, 7), (2**62, 2**61)]
+    keys = [(0, 0), (1, 2), (2**40 + 3, 7), (2**62, 2**61), (-5, -(2**50))]
     df = spark.createDataFrame(keys, "a long, b long")
     got = df.select("a", "b", h.key_hash("a", "b", salt=5).alias("x"))
     for parts in (1, 16):
@@ -161,3 +161,9 @@ def test_uniform_bounds(spark):
     )
     low, high, flow, fhigh = rows(df.agg(F.min("i"), F.max("i"), F.min("f"), F.max("f")))[0]
     assert (low, high) == (3, 9) and 5 <= flow < fhigh < 6
+
+
+def test_keys_that_differ_only_far_up_are_spread(spark):
+    df = spark.range(4096).select((F.col("id") * 2**31).alias("id"))
+    buckets = df.select(F.shiftright(h.key_hash("id"), 15).alias("b")).distinct().count()
+    assert buckets > 3000

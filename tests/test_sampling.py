@@ -20,7 +20,7 @@ def test_sample_of_nothing(spark):
 
 
 def test_sample_comes_before_the_filter(cohort):
-    drawn = s.sample_rows(cohort.calls, 1000, cohort.call_key)
+    drawn = s.sample_rows(cohort.calls, 1000, cohort.call_key, cohort.call_order)
     assert drawn.count() == 1000
     assert 0 < drawn.filter(cohort.ladder.clears()).count() < 1000
 
@@ -41,3 +41,9 @@ def test_class_weights_balance(spark):
     assert rows(s.class_weights(df, "y")) == [(0, 100 / 180), (1, 5.0)]
     weighted = s.with_class_weights(df, "y").groupBy("y").agg(F.round(F.sum("weight"), 6))
     assert rows(weighted) == [(0, 50.0), (1, 50.0)]
+
+
+def test_repeated_keys_are_told_apart_by_the_tie_break(spark):
+    df = spark.range(300).selectExpr("id div 30 AS k", "id AS t")
+    for n in (1, 45, 299):
+        assert s.sample_rows(df, n, ["k"], ["t"]).count() == n
