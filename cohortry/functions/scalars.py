@@ -14,7 +14,7 @@ def exact_round(value: Column, digits: int) -> Column:
     Rounding a bare double differs between engines where its decimal
     expansion lies next to a tie.
     """
-    return F.round(value.cast("decimal(20,8)"), digits).cast("double")
+    return F.round(value.cast("decimal(30,8)"), digits).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
