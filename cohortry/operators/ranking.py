@@ -49,7 +49,7 @@ def running_total(
 
     Within ``keys`` the columns ``order`` must be unique. Without a weight
     rows are counted. The range boundaries come from a sample and would differ
-    if they were drawn twice, so the cut rows are checkpointed once.
+    if they were drawn twice, so the cut rows are written once and read back.
     """
     spark = df.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

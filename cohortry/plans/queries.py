@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from cohortry.functions import hashing as h
 from cohortry.functions import ladders, scalars
-from cohortry.functions.scalars import exact_round, percent_share, ratio
-from cohortry.functions.scoring import confidence, raw_confidence, register_confidence
+from cohortry.functions.scalars import exact_round, percent_share
+from cohortry.functions.scoring import confidence, register_confidence
 from cohortry.models import training
 from cohortry.models.metrics import auc_by_rank, confusion_rates
 from cohortry.models.registry import ModelRegistry, signature_of
