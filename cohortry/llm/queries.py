@@ -7,16 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortry.llm.fingerprints import op4_document_fingerprints
+from cohortry.llm.html_text import op1_html_extraction
+from cohortry.llm.language import op8_language_id
 from cohortry.llm.mixing import op6_mixing
 from cohortry.llm.secret_scan import op5_secret_scans
 from cohortry.llm.sharding import op9_sharding
+from cohortry.llm.toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
+        op1_html_extraction,
+        op3_toxicity,
         op4_document_fingerprints,
         op5_secret_scans,
         op6_mixing,
+        op8_language_id,
         op9_sharding,
     )
 }
