@@ -10,6 +10,7 @@ from cohortry.llm.fingerprints import op4_document_fingerprints
 from cohortry.llm.html_text import op1_html_extraction
 from cohortry.llm.language import op8_language_id
 from cohortry.llm.mixing import op6_mixing
+from cohortry.llm.near_dedup import op7_minhash_near_dedup
 from cohortry.llm.secret_scan import op5_secret_scans
 from cohortry.llm.sharding import op9_sharding
 from cohortry.llm.toxicity import op3_toxicity
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_document_fingerprints,
         op5_secret_scans,
         op6_mixing,
+        op7_minhash_near_dedup,
         op8_language_id,
         op9_sharding,
     )
