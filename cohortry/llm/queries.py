@@ -13,6 +13,7 @@ from cohortry.llm.mixing import op6_mixing
 from cohortry.llm.near_dedup import op7_minhash_near_dedup
 from cohortry.llm.secret_scan import op5_secret_scans
 from cohortry.llm.sharding import op9_sharding
+from cohortry.llm.substring_dedup import op10_substring_dedup
 from cohortry.llm.toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_minhash_near_dedup,
         op8_language_id,
         op9_sharding,
+        op10_substring_dedup,
     )
 }
 
