@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # The white space that separates words: blank, tab, line feed, vertical tab, form feed, return.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -29,3 +34,36 @@ def words_of(text: Column) -> Column:
     """The words of a text as an array; empty if there are none."""
     trimmed = F.btrim(whole(text), F.lit(SPACE_CHARS))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
+
+
+Computed = dict[str, list]
+
+
+def with_computed(
+    rows: DataFrame,
+    keep: Sequence[str],
+    text: str,
+    fields: str,
+    make: Callable[[], Callable[[list[str | None]], Computed]],
+) -> DataFrame:
+    """``keep`` columns of ``rows`` as they are, and ``fields`` computed from the text of each row.
+
+    ``make`` runs once per task and returns a function from the texts of a batch
+    to the values of the new columns. Kept columns stay in Arrow, so large numbers
+    next to NULLs, nested values and dates come through unchanged. A kept column
+    that has the name of a field is left out.
+    """
+    added = T.StructType.fromDDL(fields)
+    keep = [c for c in keep if c not in added.names]
+    at = keep.index(text) if text in keep else len(keep)
+    given = rows.select(*(F.col(f"`{c}`") for c in keep), *([F.col(f"`{text}`").alias("_text")] if at == len(keep) else []))
+    types = [to_arrow_type(f.dataType) for f in added]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for batch in batches:
+            found = compute(batch.column(at).to_pylist())
+            new = [pa.array(found[n], type=t) for n, t in zip(added.names, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + new, names=keep + added.names)
+
+    return given.mapInArrow(run, T.StructType([given.schema[c] for c in keep] + list(added)))

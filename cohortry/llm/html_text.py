@@ -34,13 +34,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import table
+from cohortry.llm.common import Computed, table, with_computed
 from cohortry.session import checkpointed
 
 SAMPLE = 400
 TREES = 12
 DEPTH = 4
 STEP = 0.3
+PAGES_AT_ONCE = 500
 
 # Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -323,22 +324,21 @@ def learn(pages: DataFrame, html: str = "html", sample: int = SAMPLE) -> Trees:
 def extract(pages: DataFrame, trees: Trees, html: str = "html", columns: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``columns`` with text and n_chars for each row of ``pages``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            read = [Page(t or "") for t in batch["_html"]]
-            x = [p.features() for p in read]
-            chance = trees.chance(np.concatenate(x)) if x else np.zeros(0)
-            texts, at = [], 0
-            for page, rows in zip(read, x, strict=True):
-                texts.append(page.text(page.decode(chance[at : at + len(rows)])))
-                at += len(rows)
-            out = batch[list(columns)].copy()
-            out["text"] = texts
-            out["n_chars"] = [len(t) for t in texts]
-            yield out
-
-    fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in columns)
-    return pages.select(*columns, F.col(html).alias("_html")).mapInPandas(run, f"{fields}, text string, n_chars long")
+    def make():
+        def compute(batch: list[str | None]) -> Computed:
+            texts = []
+            for at in range(0, len(batch), PAGES_AT_ONCE):
+                read = [Page(t or "") for t in batch[at : at + PAGES_AT_ONCE]]
+                x = [p.features() for p in read]
+                chance, start = trees.chance(np.concatenate(x)), 0
+                for page, rows in zip(read, x, strict=True):
+                    texts.append(page.text(page.decode(chance[start : start + len(rows)])))
+                    start += len(rows)
+            return {"text": texts, "n_chars": [len(t) for t in texts]}
+
+        return compute
+
+    return with_computed(pages, columns, html, "text string, n_chars long", make)
 
 
 def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,15 +20,14 @@ named columns are read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortry.llm.common import held_out, table
+from cohortry.llm.common import Computed, held_out, table, with_computed
 
 DOCS_PER_LANG = 100
 CHARS_PER_DOC = 1000
@@ -96,27 +95,22 @@ class Judge:
         return self.langs[best], score, margin
 
 
-def identify(docs: DataFrame, content: dict[str, bytes], text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, lang_pred, score, margin, rejected for each row of ``docs``."""
+def identify(docs: DataFrame, content: dict[str, bytes], text: str = "text", columns: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``columns`` with lang_pred, score, margin and rejected for each row of ``docs``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         judge = Judge(content)
-        for rows in batches:
-            found = [judge(t) for t in rows["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": rows["doc_id"],
-                    "lang_pred": [f[0] for f in found],
-                    "score": [f[1] for f in found],
-                    "margin": [f[2] for f in found],
-                    "rejected": [f[2] < MARGIN for f in found],
-                }
-            )
-
-    id_type = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(
-        run, f"doc_id {id_type}, lang_pred string, score double, margin double, rejected boolean"
-    )
+
+        def compute(batch: list[str | None]) -> Computed:
+            found = [judge(t) for t in batch]
+            return {
+                "lang_pred": [f[0] for f in found], "score": [f[1] for f in found],
+                "margin": [f[2] for f in found], "rejected": [f[2] < MARGIN for f in found],
+            }
+
+        return compute
+
+    return with_computed(docs, columns, text, "lang_pred string, score double, margin double, rejected boolean", make)
 
 
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:

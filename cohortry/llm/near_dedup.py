@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import table
+from cohortry.llm.common import Computed, table, whole, with_computed
 from cohortry.llm.shingles import WordHashes, multipliers, shingle_set, word_list
 from cohortry.session import checkpointed
 
@@ -65,27 +65,29 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def described(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
-    """doc_id, n_shingles, k1, k2, tokens for each row."""
+    """doc_id, text_hash, n_shingles, k1, k2, tokens for each row."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         hashes, seeds = WordHashes(), multipliers(TOKENS, 29)
-        for batch in batches:
-            sizes, keys, tokens = [], [], []
-            for t in batch["text"]:
+
+        def compute(batch: list[str | None]) -> Computed:
+            out: Computed = {"n_shingles": [], "k1": [], "k2": [], "tokens": []}
+            for t in batch:
                 found = shingle_set(hashes.of(word_list(t, lower=True)), words)
-                sizes.append(len(found))
-                keys.append(set_key(found))
-                tokens.append(minwise(found, seeds) if len(found) else [])
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"], "n_shingles": sizes,
-                    "k1": [k[0] for k in keys], "k2": [k[1] for k in keys], "tokens": tokens,
-                }
-            )
-
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInPandas(
-        run, "doc_id long, n_shingles long, k1 long, k2 long, tokens array<int>"
-    )
+                key = set_key(found)
+                out["n_shingles"].append(len(found))
+                out["k1"].append(key[0])
+                out["k2"].append(key[1])
+                out["tokens"].append(minwise(found, seeds) if len(found) else [])
+            return out
+
+        return compute
+
+    named = docs.select(
+        F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
+        F.xxhash64(whole(F.col(text))).alias("text_hash"),
+    )
+    return with_computed(named, ["doc_id", "text_hash"], "text", "n_shingles long, k1 long, k2 long, tokens array<int>", make)
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
@@ -235,7 +237,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of ``docs``."""
+    """doc_id, n_shingles, component_id, kept, text_hash for each row of ``docs``."""
     rows = checkpointed(described(docs, text, doc_id, words))
     grouped = rows.filter(F.col("n_shingles") > 0).groupBy("k1", "k2").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")
@@ -265,10 +267,31 @@ def near_duplicates(
     by_key = named.join(firsts, "comp").select("k1", "k2", "component_id")
     alone = rows.filter(F.col("n_shingles") == 0).withColumn("component_id", F.col("doc_id"))
     linked = rows.filter(F.col("n_shingles") > 0).join(by_key, ["k1", "k2"])
-    columns = ["doc_id", "n_shingles", "component_id"]
-    return linked.select(columns).union(alone.select(columns)).select(
-        *columns, F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
-    )
+    columns = ["doc_id", "n_shingles", "component_id", "text_hash"]
+    judged = linked.select(columns).union(alone.select(columns))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return judged.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_hash")
+
+
+def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) of which no near duplicate has a smaller id.
+
+    Rows that repeat id and text stay once. A group without any id keeps its rows.
+    """
+    judged = checkpointed(near_duplicates(docs, words, percent))
+    gone = judged.filter(~F.col("kept") & F.col("component_id").isNotNull()).select("doc_id", "text_hash").distinct()
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    text_hash = F.xxhash64(whole(F.col("text")))
+
+    among = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash"))
+    left = docs.join(gone, among, "left_anti")
+    repeated = judged.filter("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).count()
+    repeated = checkpointed(repeated.filter("count > 1").drop("count"))
+    if repeated.isEmpty():
+        return left
+    many = left.join(repeated, among, "left_semi")
+    once = many.withColumn("_h", text_hash).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    return left.join(repeated, among, "left_anti").union(once)
 
 
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

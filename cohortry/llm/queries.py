@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortry.llm.decontamination import op2_benchmark_decontamination
 from cohortry.llm.fingerprints import op4_document_fingerprints
 from cohortry.llm.html_text import op1_html_extraction
 from cohortry.llm.language import op8_language_id
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
         op1_html_extraction,
+        op2_benchmark_decontamination,
         op3_toxicity,
         op4_document_fingerprints,
         op5_secret_scans,

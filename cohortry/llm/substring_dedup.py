@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import table, whole
+from cohortry.llm.common import Computed, table, whole, with_computed
 from cohortry.llm.shingles import WordHashes, run_hashes, word_list
 from cohortry.session import checkpointed
 
@@ -93,30 +93,27 @@ def sha256_of(words: list[bytes]) -> str:
 def scanned(docs: DataFrame, text: str, doc_id: str, window: int) -> DataFrame:
     """doc_id, k1, k2, n_words, whole_sha256, phrases (hash of each marked place) per row."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         hashes = WordHashes()
-        for batch in batches:
-            sizes, shas, found = [], [], []
-            for t in batch["text"]:
+
+        def compute(batch: list[str | None]) -> Computed:
+            out: Computed = {"n_words": [], "whole_sha256": [], "phrases": []}
+            for t in batch:
                 words = word_list(t, lower=False)
-                sizes.append(len(words))
-                shas.append(sha256_of(words))
+                out["n_words"].append(len(words))
+                out["whole_sha256"].append(sha256_of(words))
                 if len(words) < window:
-                    found.append([])
+                    out["phrases"].append([])
                     continue
                 phrases = run_hashes(hashes.of(words), PHRASE)
-                found.append(phrases[np.unique(marks(phrases, window))].view(np.int64))
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"], "k1": batch["k1"], "k2": batch["k2"], "n_words": sizes,
-                    "whole_sha256": shas, "phrases": found,
-                }
-            )
+                out["phrases"].append(phrases[np.unique(marks(phrases, window))].view(np.int64))
+            return out
+
+        return compute
 
     named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), *text_key(text))
-    return named.mapInPandas(
-        run, "doc_id long, k1 long, k2 long, n_words long, whole_sha256 string, phrases array<long>"
-    )
+    fields = "n_words long, whole_sha256 string, phrases array<long>"
+    return with_computed(named, ["doc_id", "k1", "k2"], "text", fields, make)
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:

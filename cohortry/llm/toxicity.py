@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import held_out, table
+from cohortry.llm.common import Computed, held_out, table, with_computed
 from cohortry.session import checkpointed
 
 SAMPLE = 20_000
@@ -238,19 +238,16 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: Sequence[str] = EXCEPT
 def score_documents(docs: DataFrame, model: Model, text: str = "text", columns: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``columns`` of ``docs`` with tox_score and tox_weight."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         lexicon = Lexicon(model.entries, model.exceptions)
-        for batch in batches:
-            found = [features(t, lexicon) for t in batch["_text"]]
-            kept = batch[list(columns)].copy()
-            kept["tox_score"] = [model.score(f) for f in found]
-            kept["tox_weight"] = [f[0] for f in found]
-            yield kept
-
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*columns, F.col(text).alias("_text")).mapInPandas(
-        run, f"{fields}, tox_score double, tox_weight double"
-    )
+
+        def compute(batch: list[str | None]) -> Computed:
+            found = [features(t, lexicon) for t in batch]
+            return {"tox_score": [model.score(f) for f in found], "tox_weight": [f[0] for f in found]}
+
+        return compute
+
+    return with_computed(docs, columns, text, "tox_score double, tox_weight double", make)
 
 
 def model_for(spark: SparkSession, docs: DataFrame, folder: str) -> Model:
