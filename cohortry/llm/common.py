@@ -36,6 +36,12 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
 
 
+def packed(rows: DataFrame, **columns: Column) -> DataFrame:
+    """All columns of ``rows`` as one struct ``row``, next to new columns; no name can clash."""
+    every = F.struct(*(F.col(f"`{c}`") for c in rows.columns))
+    return rows.select(every.alias("row"), *(value.alias(name) for name, value in columns.items()))
+
+
 Computed = dict[str, list]
 
 

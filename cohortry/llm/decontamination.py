@@ -40,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import table
+from cohortry.llm.common import packed, table, whole
+from cohortry.session import checkpointed
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -298,9 +299,9 @@ def triples_in(words: list[bytes], like: set[tuple[bytes, ...]]) -> set[tuple[by
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, item_id, first_word, score, question_share, answer_share: the verified items of each document."""
+    """doc_id, text_hash, item_id, first_word, score, question_share, answer_share: the verified items of each document."""
     id_type = docs.schema[doc_id].dataType.simpleString()
-    schema = f"doc_id {id_type}, item_id long, first_word long, score double, question_share double, answer_share double"
+    schema = f"doc_id {id_type}, text_hash long, item_id long, first_word long, score double, question_share double, answer_share double"
     named = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text"))
     named = named.filter(F.length("text") > 0)
     blocks = max(1, -(-named.count() // BLOCK_ITEMS))
@@ -316,13 +317,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str
 
 
 def _search(docs: DataFrame, index: Index, text: str, doc_id: str, schema: str) -> DataFrame:
-    names = ["doc_id", "item_id", "first_word", "score", "question_share", "answer_share"]
+    names = ["doc_id", "text_hash", "item_id", "first_word", "score", "question_share", "answer_share"]
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by BLOCK_ITEMS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Search(shared.value)
         for batch in batches:
-            texts = [terms_of(t) for t in batch.column(1).to_pylist()]
+            texts = [terms_of(t) for t in batch.column(2).to_pylist()]
             at = 0
             while at < len(texts):
                 until, words = at, 0
@@ -331,13 +332,24 @@ def _search(docs: DataFrame, index: Index, text: str, doc_id: str, schema: str)
                     until += 1
                 found = search(texts[at:until])
                 if found:
-                    whose = batch.column(0).take(pa.array([at + f[0] for f in found], pa.int64()))
+                    place = pa.array([at + f[0] for f in found], pa.int64())
+                    whose = [batch.column(i).take(place) for i in range(2)]
                     numbers = [pa.array([f[i] for f in found]) for i in range(1, 6)]
-                    yield pa.RecordBatch.from_arrays([whose, *numbers], names=names)
+                    yield pa.RecordBatch.from_arrays([*whose, *numbers], names=names)
                 at = until
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(whole(F.col(text))).alias("text_hash"), F.col(text).alias("text")
+    ).mapInArrow(run, schema)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) that hold no item."""
+    found = leaks(docs, benchmark).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash"))
+    rows = packed(docs, id=F.col("doc_id"), hash=F.xxhash64(whole(F.col("text"))))
+    same = F.col("id").eqNullSafe(F.col("leak_id")) & (F.col("hash") == F.col("leak_hash"))
+    return rows.join(checkpointed(found.distinct()), same, "left_anti").select("row.*")
 
 
 def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")

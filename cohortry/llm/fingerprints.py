@@ -29,6 +29,7 @@ from cohortry.session import checkpointed
 SKETCH_SIZE = 128
 SHINGLE_WORDS = 5
 IDS_PER_RANGE = 100_000
+NO_ID = -(2**63)
 
 
 def shingle_hashes(w: Column, words: int = SHINGLE_WORDS) -> Column:
@@ -95,13 +96,13 @@ def as_text(hashes: Column) -> Column:
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """Rows (key, n_chars, body) to distinct keys with their next and previous key.
+    """Rows (key, body) to distinct keys with their next and previous key.
 
     Only ids, lengths and hashes are moved here. ``stands`` is the hash of the
     text that stands for the id, ``before_chars`` the longest text before it.
     """
     ids = docs.groupBy("key").agg(
-        F.max("n_chars").alias("chars"), F.min(F.xxhash64("body")).alias("stands"), F.count(F.lit(1)).alias("rows")
+        F.max(F.char_length("body")).alias("chars"), F.min(F.xxhash64("body")).alias("stands"), F.count(F.lit(1)).alias("rows")
     )
     ids = checkpointed(ids)
     total = ids.count()
@@ -124,19 +125,15 @@ def fingerprint_documents(
     there each document sends only the beginning that its predecessor needs.
     """
     body = whole(F.col(text))
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        # Rows without an id take the place before all others.
-        F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("key"),
-        body.alias("body"),
-        F.char_length(body).cast("bigint").alias("n_chars"),
-    )
+    # Rows without an id take the place before all others. The two sides below read the same
+    # columns, so that the texts are shuffled once for both.
+    rows = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("key"), body.alias("body"))
     links = neighbours(rows)
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
     # Documents as somebody's next: a beginning and the fingerprint, sent to the id before.
     standing = (
         rows.join(links, "key")
-        .filter(F.xxhash64("body") == F.col("stands"))
+        # Not written as an equality, which would become a second join key and a second shuffle.
+        .filter(F.array_contains(F.array("stands"), F.xxhash64("body")))
         .withColumn("next_start", F.expr("substring(body, 1, cast(before_chars div 4 as int))"))
     )
     beginnings = (
@@ -145,12 +142,15 @@ def fingerprint_documents(
         .groupBy("key")
         .agg(F.first("next_start").alias("next_start"), F.first("next_sketch").alias("next_sketch"))
     )
-    kept = F.col("n_chars").cast("int") - quarter
-    edited = F.concat(F.substring("body", F.lit(1), kept), F.substring("next_start", F.lit(1), quarter))
-    paired = rows.join(beginnings, "key").withColumn("edited", edited)
-    paired = with_sketch(with_sketch(paired, "body", "own", k, words), "edited", "changed", k, words)
+    paired = rows.join(beginnings, "key").withColumn("n_chars", F.char_length("body"))
+    quarter = F.expr("n_chars div 4").cast("int")
+    edited = F.concat(
+        F.substring("body", F.lit(1), F.col("n_chars") - quarter), F.substring("next_start", F.lit(1), quarter)
+    )
+    paired = with_sketch(with_sketch(paired.withColumn("edited", edited), "body", "own", k, words), "edited", "changed", k, words)
     near = paired.select(
-        "doc_id", "n_chars", "own", "changed", "next_sketch",
+        F.nullif(F.col("key"), F.lit(NO_ID)).alias("doc_id"), F.col("n_chars").cast("bigint").alias("n_chars"),
+        "own", "changed", "next_sketch",
         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
         merged(F.col("own"), F.col("changed"), k).alias("union_edited"),
         merged(F.col("own"), F.col("next_sketch"), k).alias("union_next"),

@@ -12,17 +12,17 @@ The targets of a margin are its token shares, tempered by a power below one
 more class; NULL or empty texts have no tokens, count as one row in their cell
 and keep the probability of their cell; repeated rows share one decision; a
 margin value without target keeps no weight; an empty table gives no rows; extra
-columns are carried along under their own names.
+columns are carried along unchanged, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import table, whole
+from cohortry.llm.common import packed, table, whole
 from cohortry.session import checkpointed
 
 MARGINS = ("source", "lang", "topic")
@@ -109,11 +109,6 @@ def probabilities(fitted: DataFrame, budget: float) -> DataFrame:
     return cells.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(float(factor or 0.0))))
 
 
-def with_cells(docs: DataFrame, text: str, topic: Column) -> DataFrame:
-    """``docs`` with ``_topic`` and ``_tokens``."""
-    return docs.withColumn("_topic", topic).withColumn("_tokens", token_count(F.col(text)))
-
-
 def mix(
     docs: DataFrame,
     keep_share: float = KEEP_SHARE,
@@ -125,45 +120,43 @@ def mix(
     lang: str = "lang",
     topic: Column | None = None,
     targets: Mapping[str, DataFrame] | None = None,
-    columns: Sequence[str] | None = None,
+    seed: str = "",
 ) -> DataFrame:
-    """The kept rows of ``docs`` (or ``columns`` of them) with _topic, _tokens, _probability.
+    """(row, topic, tokens, probability) of the kept rows; ``row`` holds the columns of ``docs``.
 
     The texts are read for the cell counts and again for the sample; they are not shuffled.
     """
-    kept_columns = list(columns if columns is not None else docs.columns)
-    by_topic = topic if topic is not None else layout_topic(F.col(text))
-    measured = docs.select(
-        F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"),
-        by_topic.alias("topic"), token_count(F.col(text)).alias("tokens"),
-    )
+    drawn = packed(
+        docs,
+        source=F.col(source).cast("string"),
+        lang=F.col(lang).cast("string"),
+        topic=topic if topic is not None else layout_topic(F.col(text)),
+        tokens=token_count(F.col(text)),
+        draw=uniform(F.concat(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))),
+    )
     cells = checkpointed(
-        measured.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents"))
+        drawn.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents"))
     )
     wanted = dict(targets) if targets else {m: checkpointed(tempered_targets(cells, m, temper)) for m in MARGINS}
     fitted = rake(cells, wanted, rounds)
     total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    chances = checkpointed(probabilities(fitted, keep_share * float(total))).select(
-        *(F.col(m).alias(f"_c_{m}") for m in MARGINS), F.col("probability").alias("_probability")
-    )
-    drawn = docs.withColumn("_u", uniform(F.col(doc_id))).withColumn("_topic", by_topic)
+    chances = checkpointed(probabilities(fitted, keep_share * float(total)).select(*MARGINS, "probability"))
+    chances = chances.select(*(F.col(m).alias(f"c_{m}") for m in MARGINS), "probability")
     match = (
-        F.col(source).cast("string").eqNullSafe(F.col("_c_source"))
-        & F.col(lang).cast("string").eqNullSafe(F.col("_c_lang"))
-        & F.col("_topic").eqNullSafe(F.col("_c_topic"))
+        F.col("source").eqNullSafe(F.col("c_source"))
+        & F.col("lang").eqNullSafe(F.col("c_lang"))
+        & F.col("topic").eqNullSafe(F.col("c_topic"))
     )
     return (
         drawn.join(chances, match)
-        .filter(F.col("_u") < F.col("_probability"))
-        .withColumn("_tokens", token_count(F.col(text)))
-        .select(*kept_columns, "_topic", "_tokens", "_probability")
+        .filter(F.col("draw") < F.col("probability"))
+        .select("row", "topic", "tokens", "probability")
     )
 
 
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The sampled documents of the whole table, with their probability and sample weight."""
-    kept = mix(table(spark, folder, "documents"), columns=["doc_id", "source", "lang"])
-    return kept.select(
-        "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
-        F.round("_probability", 6).alias("probability"),
-    )
+    documents = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    return mix(documents).select(
+        "row.doc_id", "row.source", "row.lang", "topic", "tokens", F.round("probability", 6).alias("probability")
+    )

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import Computed, table, whole, with_computed
+from cohortry.llm.common import Computed, packed, table, whole, with_computed
 from cohortry.llm.shingles import WordHashes, multipliers, shingle_set, word_list
 from cohortry.session import checkpointed
 
@@ -280,19 +280,17 @@ def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERC
     """
     judged = checkpointed(near_duplicates(docs, words, percent))
     gone = judged.filter(~F.col("kept") & F.col("component_id").isNotNull()).select("doc_id", "text_hash").distinct()
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    text_hash = F.xxhash64(whole(F.col("text")))
-
-    among = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash"))
-    left = docs.join(gone, among, "left_anti")
-    repeated = judged.filter("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).count()
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    rows = packed(docs, id=F.col("doc_id").cast("bigint"), hash=F.xxhash64(whole(F.col("text"))))
+    left = rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash")), "left_anti")
+    repeated = judged.filter("kept").groupBy(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash")).count()
     repeated = checkpointed(repeated.filter("count > 1").drop("count"))
     if repeated.isEmpty():
-        return left
-    many = left.join(repeated, among, "left_semi")
-    once = many.withColumn("_h", text_hash).dropDuplicates(["doc_id", "_h"]).drop("_h")
-    return left.join(repeated, among, "left_anti").union(once)
+        return left.select("row.*")
+    same = (F.col("id") == F.col("r_id")) & (F.col("hash") == F.col("r_hash"))
+    once = left.join(repeated, same, "left_semi").dropDuplicates(["id", "hash"])
+    return left.join(repeated, same, "left_anti").union(once).select("row.*")
 
 
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents"), words=4)
+    return near_duplicates(table(spark, folder, "documents"), words=4).drop("text_hash")

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import Computed, held_out, table, with_computed
+from cohortry.llm.common import Computed, held_out, packed, table, with_computed
 from cohortry.session import checkpointed
 
 SAMPLE = 20_000
@@ -257,6 +257,12 @@ def model_for(spark: SparkSession, docs: DataFrame, folder: str) -> Model:
     return learn(docs.select("doc_id", "text").filter(train), labels)
 
 
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` (text, ...) that the model does not reject."""
+    scored = score_documents(packed(docs, text=F.col("text")), model, columns=["row"])
+    return scored.filter(F.col("tox_score") < threshold).select("row.*")
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scored = score_documents(docs, model_for(spark, docs, folder))

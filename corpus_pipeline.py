@@ -9,14 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortry.llm.common import table
-from cohortry.llm.decontamination import leaks
+from cohortry.llm.decontamination import without_leaks
 from cohortry.llm.mixing import mix
 from cohortry.llm.near_dedup import one_of_each
 from cohortry.llm.sharding import shard_documents
-from cohortry.llm.toxicity import model_for, score_documents
+from cohortry.llm.toxicity import model_for, without_toxic
 from cohortry.session import checkpointed
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,24 +23,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
-    scored = score_documents(docs, model_for(spark, docs, folder), columns=docs.columns)
-    return scored.filter(F.col("tox_score") < 0.5).select(docs.columns)
+    return without_toxic(docs, model_for(spark, docs, folder))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id."""
-    return one_of_each(docs).select(docs.columns)
+    return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
-    found = leaks(docs, table(spark, folder, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return without_leaks(docs, table(spark, folder, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents drawn so that sources, languages and topics meet their target weights."""
-    return mix(docs).select(docs.columns)
+    return mix(docs).select("row.*")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
