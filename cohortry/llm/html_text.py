@@ -305,7 +305,8 @@ def training_nodes(pages: DataFrame, html: str = "html", sample: int = SAMPLE) -
                                 moved[FEATURES.index(name)] = 1.0
                                 rows.append(moved.tolist())
                                 labels.append(0.0)
-            yield pd.DataFrame({"x": rows, "label": labels})
+            if rows:
+                yield pd.DataFrame({"x": rows, "label": labels})
 
     return drawn.repartition(8).mapInPandas(run, "x array<double>, label double")
 

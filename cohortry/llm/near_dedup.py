@@ -103,7 +103,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, wor
                 if set_key(found)[0] == k1:
                     cids.append(cid)
                     sets.append(found.view(np.int64))
-            yield pd.DataFrame({"cid": cids, "shingles": sets})
+            if cids:
+                yield pd.DataFrame({"cid": cids, "shingles": sets})
 
     texts = docs.select(F.col(doc_id).cast("bigint").alias("rep"), F.col(text).alias("text"))
     # NULL ids may stand for a class, too.

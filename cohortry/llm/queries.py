@@ -12,6 +12,7 @@ from cohortry.llm.html_text import op1_html_extraction
 from cohortry.llm.language import op8_language_id
 from cohortry.llm.mixing import op6_mixing
 from cohortry.llm.near_dedup import op7_minhash_near_dedup
+from cohortry.llm.oracle import ORACLE
 from cohortry.llm.secret_scan import op5_secret_scans
 from cohortry.llm.sharding import op9_sharding
 from cohortry.llm.substring_dedup import op10_substring_dedup
@@ -33,5 +34,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-# SQL with the same result, for DuckDB, where SQL can express it.
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -151,7 +151,8 @@ def places(held: DataFrame, window: int) -> DataFrame:
                     out["windows"].append(windows[a:b])
                     out["single"].append(n == 1)
                     out["n"].append(n)
-            yield pd.DataFrame(out)
+            if out["phrase"]:
+                yield pd.DataFrame(out)
 
     return held.select("text", "phrases", "n").mapInPandas(
         run, "phrase long, words string, windows array<long>, single boolean, n long"
@@ -187,17 +188,23 @@ class Automaton:
         return at[self.windows[slot] == found]
 
 
+# An empty frame whose list column Arrow can read.
+NOTHING = pd.DataFrame({"cid": pd.Series(dtype="int64"), "starts": pd.Series(dtype=object)})
+
+
 def located(routed: DataFrame, shards: DataFrame, window: int) -> DataFrame:
     """(cid, starts) from texts and patterns that share a task (shard, salt, part)."""
 
     def run(texts: pd.DataFrame, patterns: pd.DataFrame) -> pd.DataFrame:
         if not len(texts) or not len(patterns):
-            return pd.DataFrame({"cid": [], "starts": []})
+            return NOTHING
         machine = Automaton(
             patterns["words"].drop_duplicates().tolist(), np.unique(patterns["window"].to_numpy(dtype=np.int64)), window
         )
         found = [machine.starts(t) for t in texts["text"]]
         kept = [i for i, f in enumerate(found) if len(f)]
+        if not kept:
+            return NOTHING
         return pd.DataFrame(
             {"cid": texts["cid"].to_numpy()[kept], "starts": [found[i].astype(np.int32) for i in kept]}
         )

@@ -166,7 +166,8 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, bool, float]]:
                 seen.update((t, w, int(toxic)) for t, w in entries_of(fold(text)))
                 if len(seen) > FLUSH:
                     yield flushed()
-        yield flushed()
+        if seen:
+            yield flushed()
 
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic_docs, other_docs = sizes.get(1, 0), sizes.get(0, 0)
