@@ -61,6 +61,12 @@ def merged(left: Column, right: Column, k: int = SKETCH_SIZE) -> Column:
     return F.slice(F.sort_array(F.array_union(left, right)), 1, k)
 
 
+def compared(left: Column, right: Column, k: int = SKETCH_SIZE) -> Column:
+    """The smallest hashes of the union on which two sketches can be compared; all if both are full sets."""
+    known = F.when((F.size(left) < k) & (F.size(right) < k), 2 * k).otherwise(k)
+    return F.slice(F.sort_array(F.array_union(left, right)), F.lit(1), known)
+
+
 def merge_groups(sketches: DataFrame, keys: list[str], column: str, k: int = SKETCH_SIZE) -> DataFrame:
     """One merged sketch per key; a group of any size reaches a task as its ``k`` best rows only."""
     hashes = sketches.select(*keys, F.explode(column).alias("_h")).distinct()
@@ -70,7 +76,7 @@ def merge_groups(sketches: DataFrame, keys: list[str], column: str, k: int = SKE
 
 def resemblance(a: Column, b: Column, k: int = SKETCH_SIZE) -> Column:
     """Estimated size of the intersection over that of the union, 0 to 1."""
-    return _share(merged(a, b, k), a, b)
+    return _share(compared(a, b, k), a, b)
 
 
 def _share(union: Column, a: Column, b: Column) -> Column:
@@ -152,8 +158,8 @@ def fingerprint_documents(
         F.nullif(F.col("key"), F.lit(NO_ID)).alias("doc_id"), F.col("n_chars").cast("bigint").alias("n_chars"),
         "own", "changed", "next_sketch",
         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-        merged(F.col("own"), F.col("changed"), k).alias("union_edited"),
-        merged(F.col("own"), F.col("next_sketch"), k).alias("union_next"),
+        compared(F.col("own"), F.col("changed"), k).alias("union_edited"),
+        compared(F.col("own"), F.col("next_sketch"), k).alias("union_next"),
     )
     return near.select(
         "doc_id", "n_chars", "edited_sha256",
