@@ -12,17 +12,23 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A full-period linear congruential step modulo 2^31.
+# A full-period linear congruential step modulo 2^31, and the
+# multiplier and shift of the closing mix.
 MODULUS = 2147483648
 MULTIPLIER = 1103515245
 INCREMENT = 12345
+MIX_MULTIPLIER = 73244475
+MIX_SHIFT = 16
+MIX_ROUNDS = 2
 
 
 def key_hash(*columns: str, salt: int = 0) -> Column:
     """Integer hash in [0, 2^31) of one or several integer key columns.
 
     The upper and the lower 31 bits of a key go in one after the other, so
-    keys that differ only far up do not all fall on one value.
+    keys that differ only far up do not all fall on one value. The salt goes in
+    last, through multiplications and shifts of the whole state: the steps
+    before are linear, and two salts would else differ by one constant.
     """
 
     def step(state: Column, part: Column) -> Column:
@@ -30,7 +36,11 @@ def key_hash(*columns: str, salt: int = 0) -> Column:
 
     keys = [F.col(c).cast("bigint") for c in columns]
     parts = [part for key in keys for part in (F.shiftright(key, 31), key)]
-    return reduce(step, parts, F.lit(salt).cast("bigint"))
+    state = reduce(step, parts, F.lit(0).cast("bigint"))
+    state = state.bitwiseXOR(F.lit((salt * 40503 * 65537 + salt) % MODULUS).cast("bigint"))
+    for _ in range(MIX_ROUNDS):
+        state = (state.bitwiseXOR(F.shiftright(state, MIX_SHIFT)) * MIX_MULTIPLIER) % MODULUS
+    return state.bitwiseXOR(F.shiftright(state, MIX_SHIFT))
 
 
 def key_uniform(*columns: str, salt: int = 0) -> Column:

@@ -106,7 +106,7 @@ def confidence_udf(caps: ScoreCaps, digits: int | None = 2) -> Callable[..., Col
         raw = raw_confidence_batch(caps, vaf, depth, alt_reads, mapq, actionable)
         if digits is None:
             return raw
-        return pd.Series([round(x, digits) for x in raw], dtype="float64")
+        return raw.round(digits)
 
     return score
 

@@ -84,7 +84,7 @@ def with_probability(scored: DataFrame, name: str = "score") -> DataFrame:
 
 def train(
     frame: DataFrame, pipeline: Pipeline, label: str, key: Sequence[str], test_share: float = 0.25,
-    tie_break: Sequence[str] = (),
+    tie_break: Sequence[str] = (), salt: int = 0,
 ) -> Trained:
     """Fit on three quarters of each class, measure on the rest.
 
@@ -93,7 +93,7 @@ def train(
     model that predicts a single class is refused.
     """
     split = checkpointed(
-        stratified_split(checkpointed(frame), label, test_share, key, tie_break=tie_break)
+        stratified_split(checkpointed(frame), label, test_share, key, tie_break=tie_break, salt=salt)
     )
     classes = split.filter(~F.col("is_test")).select(label).distinct().limit(2).count()
     if classes < 2:

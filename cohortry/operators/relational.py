@@ -82,6 +82,11 @@ def reportable_view(cohort: Cohort) -> DataFrame:
     return full.select(*keyed(cohort, VIEW_COLUMNS))
 
 
+def register_reportable(cohort: Cohort, name: str = "reportable_calls") -> None:
+    """The reportable view as a SQL name of the session."""
+    reportable_view(cohort).createOrReplaceTempView(name)
+
+
 def restrict_to(df: DataFrame, picked: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep the rows whose keys occur in ``picked``; rows are never multiplied.
 

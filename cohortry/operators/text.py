@@ -20,6 +20,7 @@ from cohortry.operators.ranking import top_per_group
 SENTENCE = r"^[^.!?]*"
 GAP = r"[ \t\r\n]+"
 WORD = r"[\p{L}]+"
+NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
 def extract(text: Column, fields: dict[str, tuple[str, ...]]) -> Column:
@@ -45,6 +46,15 @@ def occurrences(text: Column, phrase: str) -> Column:
     return F.regexp_count(F.lower(text), F.lit(quoted)).cast("bigint")
 
 
+def padded(text: Column) -> Column:
+    """Words of a text in lower case with one blank on either side, marks left out.
+
+    Phrases such as `` the `` are then found at the ends of a text and next to
+    punctuation, too.
+    """
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(text), NOT_WORD, " "), F.lit(" "))
+
+
 def classify(
     text: Column, labels: dict[str, Sequence[str]], otherwise: str | None = None
 ) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.functions import hashing as h
@@ -88,13 +88,13 @@ def sql_bound_params(c: Cohort) -> DataFrame:
 
 @query
 def sequence_rows(c: Cohort) -> DataFrame:
-    """As many generated rows as there are patients, each with its own draws."""
-    n = c.patients.count()
-    return c.spark.range(n).select(
-        F.col("id").alias("n"),
-        scalars.padded_id("PT-", F.col("id") + 100000, 8).alias("patient_label"),
-        h.uniform_int(1938, 1998, "id", salt=1).alias("birth_year"),
-        exact_round(h.key_uniform("id", salt=2), 6).alias("u"),
+    """One generated row per month from the first to the last draw, with its draws."""
+    month = F.trunc("collection_date", "month")
+    counts = c.specimens.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("draws"))
+    span = counts.agg(F.min("month").alias("first"), F.max("month").alias("last"))
+    months = span.select(F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("month"))
+    return months.join(counts, "month", "left").select(
+        "month", F.coalesce("draws", F.lit(0)).alias("draws")
     )
 
 
@@ -178,10 +178,15 @@ def significance_ladder(c: Cohort) -> DataFrame:
 
 @query
 def qc_ladder(c: Cohort) -> DataFrame:
-    status = ladders.qc_status(h.key_uniform("specimen_id", salt=9), F.col("tumor_fraction"), 30000.0)
+    status = ladders.qc_status(_rank_share(), F.col("tumor_fraction"), 30000.0)
     return c.specimens.select("specimen_id", status.alias("qc_status"))
 
 
+def _rank_share() -> Column:
+    """Where a draw's date stands within its month, 0 to 1."""
+    return (F.dayofmonth("collection_date") - 1) / F.lit(31.0)
+
+
 # Cumulative shares of the variant types.
 TYPE_SHARES = [(0.86, "SNV"), (0.94, "INSERTION"), (0.99, "DELETION")]
 STAGES = ["IV", "IV", "IV", "III", "III", "II", "I"]
@@ -189,21 +194,20 @@ STAGES = ["IV", "IV", "IV", "III", "III", "II", "I"]
 
 @query
 def weighted_category(c: Cohort) -> DataFrame:
-    u = h.key_uniform(*c.call_key)
+    """Categories by where measured values stand in their range."""
     return c.calls.select(
         *c.call_key,
-        h.share_pick(TYPE_SHARES, "MNV", u).alias("drawn_type"),
-        h.weighted_pick(STAGES, h.key_uniform(*c.call_key, salt=3)).alias("drawn_stage"),
+        h.share_pick(TYPE_SHARES, "MNV", F.col("alt_read_count") / 51).alias("depth_type"),
+        h.weighted_pick(STAGES, F.col("mapping_quality") / 0.09).alias("quality_stage"),
     )
 
 
 @query
 def skewed_dim_lookup(c: Cohort) -> DataFrame:
-    """Calls land on genes by a squared draw: the first genes are hit most."""
-    genes = c.panel.count()
-    index = h.bucket_index(h.key_uniform(*c.call_key, salt=5), genes, power=2.0)
-    hits = c.calls.select(index.alias("gene_id")).groupBy("gene_id").agg(F.count(F.lit(1)).alias("n"))
-    looked_up = hits.join(c.panel.select("gene_id", "gene_symbol"), "gene_id")
+    """Calls land on a computed gene: the one that starts their hundred. All calls stay."""
+    index = F.col("gene_id") - (F.col("gene_id") - 1) % 100
+    hits = c.calls.groupBy(index.alias("gene_id")).agg(F.count(F.lit(1)).alias("n"))
+    looked_up = hits.join(c.panel.select("gene_id", "gene_symbol"), "gene_id", "left")
     return looked_up.groupBy("gene_symbol").agg(F.sum("n").alias("calls"))
 
 
@@ -312,19 +316,19 @@ def hash_sample(c: Cohort) -> DataFrame:
 
 @query
 def hash_uniform(c: Cohort) -> DataFrame:
-    return c.specimens.select(
-        "specimen_id",
-        exact_round(h.key_uniform("specimen_id"), 6).alias("u"),
-        h.uniform_int(1200, 9500, "specimen_id", salt=1).alias("depth"),
-        exact_round(h.uniform_float(5, 95, "specimen_id", salt=2), 2).alias("input_ng"),
-    )
+    """Draws per quarter of the key hash under two salts; independent salts fill all sixteen cells."""
+    return c.specimens.groupBy(
+        h.bucket_index(h.key_uniform("specimen_id", salt=1), 4).alias("one"),
+        h.bucket_index(h.key_uniform("specimen_id", salt=2), 4).alias("other"),
+    ).agg(F.count(F.lit(1)).alias("draws"))
 
 
 @query
 def bucket_index(c: Cohort) -> DataFrame:
-    u = h.key_uniform(*c.call_key)
+    """Calls per bucket of the mapping quality, even and favouring low values."""
+    share = F.col("mapping_quality") / 0.09
     buckets = c.calls.select(
-        h.bucket_index(u, 17, power=1.7).alias("skewed"), h.bucket_index(u, 7).alias("even")
+        h.bucket_index(share, 17, power=1.7).alias("skewed"), h.bucket_index(share, 7).alias("even")
     )
     return buckets.groupBy("skewed", "even").agg(F.count(F.lit(1)).alias("calls"))
 
@@ -416,7 +420,20 @@ def confidence_score_udf(c: Cohort) -> DataFrame:
 
 @query
 def top_confidence(c: Cohort) -> DataFrame:
-    return w.top_confidence(c)
+    """The registered score called from SQL text over the named reportable view."""
+    register_confidence(c.spark, "cohort_confidence", c.caps, digits=None)
+    relational.register_reportable(c, "reportable_calls")
+    order = ", ".join(c.call_order)
+    return c.spark.sql(
+        f"""
+        SELECT {", ".join(c.call_key)}, gene_symbol, round(CAST(vaf * 100 AS DECIMAL(30, 8)), 3) AS vaf_raw,
+               read_depth, alt_read_count, clinical_significance,
+               CAST(CAST(cohort_confidence({", ".join(w.FEATURES)}, is_actionable) AS DECIMAL(38, 2)) AS DOUBLE)
+                 AS confidence
+        FROM reportable_calls WHERE is_actionable
+        ORDER BY confidence DESC NULLS LAST, {order} LIMIT 20
+        """
+    ).withColumn("vaf_pct", F.col("vaf_raw").cast("double")).drop("vaf_raw")
 
 
 # -- text --------------------------------------------------------------------
@@ -426,7 +443,7 @@ FIELDS = {
     "email": (r"([A-Za-z0-9_.]+@[A-Za-z0-9.]+[a-z])", "string", "@"),
     "phone": (r"([0-9]{3}-[0-9]{4})", "string", "-"),
     "licensed": (r"([Ll]icense)", "string", "icense"),
-    "first_number": (r"([0-9]{1,9})", "bigint"),
+    "first_number": (r"([0-9]+)", "bigint"),
     "opening": (r"^([^.!?\r\n]+)", "string"),
 }
 LABELS = {
@@ -488,16 +505,29 @@ def text_extract_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def text_classify(c: Cohort) -> DataFrame:
-    label = tx.classify(F.col("report_text"), LABELS)
+    label = tx.classify(tx.padded(F.col("report_text")), LABELS, otherwise="unknown")
     return c.reports.select("report_id", label.alias("label"))
 
 
 @query
 def text_class_share(c: Cohort) -> DataFrame:
-    labelled = c.reports.select(tx.classify(F.col("report_text"), LABELS).alias("label"))
+    labelled = c.reports.select(
+        tx.classify(tx.padded(F.col("report_text")), LABELS, otherwise="unknown").alias("label")
+    )
     return g.counts_with_share(labelled, ["label"], "reports", "pct", 1)
 
 
+@query
+def text_completion(c: Cohort) -> DataFrame:
+    """The batch completion operator with a function that can be checked: the longest word."""
+
+    def make():
+        return lambda prompts: [max(p.split(), key=lambda w: (len(w), w), default="") for p in prompts]
+
+    wanted = c.reports.select("report_id", "report_text")
+    return tx.complete(wanted, "report_text", "", make, "answer", max_words=3).select("report_id", "answer")
+
+
 @query
 def text_summary(c: Cohort) -> DataFrame:
     return c.reports.select("report_id", tx.first_words(F.col("report_text"), 20).alias("summary"))
@@ -531,7 +561,7 @@ def _drawn(c: Cohort) -> DataFrame:
 @query
 def stratified_split(c: Cohort) -> DataFrame:
     split = sampling.stratified_split(
-        _drawn(c), LABEL, 0.25, c.call_key, tie_break=w.FEATURES
+        _drawn(c), LABEL, 0.25, c.call_key, tie_break=w.FEATURES, salt=w.SPLIT_SALT
     )
     return split.select(*c.call_key, LABEL, "is_test")
 
@@ -543,9 +573,11 @@ def class_weights(c: Cohort) -> DataFrame:
 
 
 def _fixed_score(c: Cohort) -> DataFrame:
-    """A score that needs no training: the confidence without the panel bonus."""
+    """Every passing call with a score that needs no training: the confidence without the panel bonus."""
     score = confidence(c.caps, actionable=F.lit(False))
-    return w.training_frame(c).select(score.alias("score"), LABEL)
+    calls = relational.with_panel(relational.passing_calls(c.calls, c.ladder), c.panel)
+    positive = relational.clinical_significance(c, calls) == "Pathogenic"
+    return calls.select(score.alias("score"), F.when(positive, 1).otherwise(0).cast("bigint").alias(LABEL))
 
 
 @query
@@ -575,7 +607,7 @@ QUERIES["confusion_rates"] = QUERIES.pop("confusion_rates_")
 
 def _fit(c: Cohort, pipeline) -> training.Trained:
     return training.train(
-        w.training_frame(c), pipeline, LABEL, c.call_key, tie_break=w.FEATURES
+        w.training_frame(c), pipeline, LABEL, c.call_key, tie_break=w.FEATURES, salt=w.SPLIT_SALT
     )
 
 
@@ -598,7 +630,7 @@ def rf_scores(c: Cohort) -> DataFrame:
 
 @query
 def gbt_scores(c: Cohort) -> DataFrame:
-    return _holdout(c, training.boosted(w.FEATURES, LABEL, rounds=20))
+    return _holdout(c, training.boosted(w.FEATURES, LABEL))
 
 
 def _registry_with_model(c: Cohort) -> ModelRegistry:
@@ -640,7 +672,7 @@ def model_score(c: Cohort) -> DataFrame:
 def model_flag_rate(c: Cohort) -> DataFrame:
     """Share of a sample of passing calls that the default model flags."""
     registry = _registry_with_model(c)
-    drawn = sampling.sample_rows(c.calls, 20_000, c.call_key, c.call_order)
+    drawn = sampling.sample_rows(c.calls, 20_000, c.call_key, c.call_order, salt=w.FLAG_SALT)
     calls = relational.passing_calls(drawn, c.ladder)
     scored = registry.score(calls.select(*w.FEATURES), "calls_clf")
     return scored.agg(
