@@ -18,6 +18,8 @@ from pyspark.sql.window import Window
 from cohortry.session import checkpointed
 
 CHUNK, CHUNK_SUM, CHUNK_BEFORE = "_chunk", "_chunk_sum", "_chunk_before"
+PLACE, FIRST = "_place", "_first"
+RANGE_BYTES = 256 * 2**20
 
 # A median may be buffered as value -> count inside one aggregate only if its
 # type admits no more distinct values than this.
@@ -38,6 +40,19 @@ def null_safe_join(
     return left.join(right.withColumnsRenamed(other), match, how).drop(*other.values())
 
 
+def ranges_for(df: DataFrame) -> int:
+    """How many ranges a sort of ``df`` needs: by the size of what its plan scans.
+
+    AQE never splits an explicit number of ranges, so that number has to follow
+    the data and not the session's default.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Leaves of unknown size report the largest number there is.
+    return max(least, -(-sum(s for s in sizes if s < 2**62) // RANGE_BYTES))
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -48,35 +63,42 @@ def running_total(
     """Add ``running`` (sum of ``weight`` up to and with the row) and ``total``.
 
     Within ``keys`` the columns ``order`` must be unique. Without a weight
-    rows are counted. The range boundaries come from a sample and would differ
-    if they were drawn twice, so the cut rows are written once and read back.
+    rows are counted: their place in their sorted range is written along with
+    them, so that the rows are shuffled once. The range boundaries come from a
+    sample and would differ if they were drawn twice, so the cut rows are
+    written once and read back.
     """
-    spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or ranges_for(df)
+    ranged = df.repartitionByRange(count, *keys, *order).sortWithinPartitions(*keys, *order)
+    # The lower 33 bits of this id count the rows of a partition from 0.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    cut = checkpointed(ranged.withColumn(CHUNK, F.spark_partition_id()).withColumn(PLACE, place))
     amount = F.col(weight) if weight else F.lit(1).cast("bigint")
-    cut = checkpointed(
-        df.repartitionByRange(count, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
-    )
     # One row per range and key; a key meets at most ``count`` ranges.
-    sums = cut.groupBy(CHUNK, *keys).agg(F.sum(amount).alias(CHUNK_SUM))
+    sums = cut.groupBy(CHUNK, *keys).agg(F.sum(amount).alias(CHUNK_SUM), F.min(PLACE).alias(FIRST))
     per_key = Window.partitionBy(*keys)
     earlier = per_key.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        CHUNK,
-        *keys,
+        F.col(CHUNK).alias("_at"),
+        *[F.col(k).alias(f"_of_{k}") for k in keys],
+        FIRST,
         F.coalesce(F.sum(CHUNK_SUM).over(earlier), F.lit(0)).alias(CHUNK_BEFORE),
         F.sum(CHUNK_SUM).over(per_key).alias("total"),
     )
-    inside = (
-        Window.partitionBy(CHUNK, *keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = cut.withColumn("running", F.sum(amount).over(inside))
-    joined = null_safe_join(local, offsets, [CHUNK, *keys])
-    return joined.select(
-        *df.columns, (F.col("running") + F.col(CHUNK_BEFORE)).alias("running"), "total"
-    )
+    if weight:
+        inside = (
+            Window.partitionBy(CHUNK, *keys)
+            .orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        cut = cut.withColumn("_inside", F.sum(amount).over(inside))
+        running = F.col("_inside") + F.col(CHUNK_BEFORE)
+    else:
+        running = F.col(PLACE) - F.col(FIRST) + 1 + F.col(CHUNK_BEFORE)
+    # The range is never NULL and joins by plain equality, which keeps its partitioning.
+    match = [F.col(CHUNK) == F.col("_at"), *[F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]]
+    joined = cut.join(offsets, reduce(lambda x, y: x & y, match))
+    return joined.select(*df.columns, running.alias("running"), "total")
 
 
 def number_rows(

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from cohortry.functions.hashing import key_hash
 from cohortry.operators.ranking import null_safe_join
 
-HASH, BUCKET = "_hash", "_bucket"
+HASH, BUCKET, FINE = "_hash", "_bucket", "_fine"
 HASH_BITS, BUCKET_BITS = 31, 16
 
 
@@ -36,9 +36,11 @@ def cut_points(
     which nothing is to be taken have no row in the result.
     """
     by = list(by)
+    low_bits = HASH_BITS - BUCKET_BITS
     slim = hashed.select(
         *by, *[k for k in key if k not in by], HASH,
-        F.shiftright(HASH, HASH_BITS - BUCKET_BITS).alias(BUCKET),
+        F.shiftright(HASH, low_bits).alias(BUCKET),
+        F.col(HASH).bitwiseAND(F.lit(2**low_bits - 1)).alias(FINE),
     )
     # At most 2^16 rows per group from here to the cut.
     per_group = Window.partitionBy(*by)
@@ -49,23 +51,46 @@ def cut_points(
         .withColumn("_up_to", F.sum("_n").over(up_to))
         .withColumn("_goal", take(F.sum("_n").over(per_group)).cast("bigint"))
     )
-    need = F.col("_goal") - F.col("_up_to") + F.col("_n")
-    reached = histogram.filter((F.col("_goal") > 0) & (F.col("_up_to") >= F.col("_goal")))
-    edge = (
-        reached.groupBy(*by)
-        .agg(F.min(F.struct(BUCKET, need.alias("_need"))).alias("_edge"))
-        .select(*by, f"_edge.{BUCKET}", "_edge._need")
-    )
-    # Only the rows of the edge bucket, 1 in 65,536, are ranked.
+    edge = _reached(histogram, by, BUCKET)
     inside = null_safe_join(slim, edge, [*by, BUCKET])
-    rank = F.row_number().over(Window.partitionBy(*by, BUCKET).orderBy(_place(key)))
+    # The edge bucket is counted once more by the other half of the hash.
+    fine_up_to = per_group.orderBy(FINE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine = (
+        inside.groupBy(*by, FINE)
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("_need").alias("_goal"))
+        .withColumn("_up_to", F.sum("_n").over(fine_up_to))
+    )
+    last = null_safe_join(inside.drop("_need"), _reached(fine, by, FINE), [*by, FINE])
+    # Only rows that share the whole hash with the cut are ranked.
+    rank = F.row_number().over(Window.partitionBy(*by, FINE).orderBy(_place(key)))
     return (
-        inside.withColumn("_rank", rank)
+        last.withColumn("_rank", rank)
         .filter(F.col("_rank") == F.col("_need"))
         .select(*by, _place(key).alias("_cut"))
     )
 
 
+def _reached(histogram: DataFrame, by: list[str], bucket: str) -> DataFrame:
+    """The first bucket that reaches the goal, and how many of its rows are needed."""
+    need = F.col("_goal") - F.col("_up_to") + F.col("_n")
+    reached = histogram.filter((F.col("_goal") > 0) & (F.col("_up_to") >= F.col("_goal")))
+    return (
+        reached.groupBy(*by)
+        .agg(F.min(F.struct(bucket, need.alias("_need"))).alias("_edge"))
+        .select(*by, f"_edge.{bucket}", "_edge._need")
+    )
+
+
+def with_per_label(df: DataFrame, values: DataFrame, label: str, value: str) -> DataFrame:
+    """Add the value of each row's label, from a frame with one row per label, without a join.
+
+    A join on a label with two values would send each to one task.
+    """
+    listed = values.agg(F.collect_list(F.struct(label, value)).alias("_all")).scalar()
+    mine = F.filter("_all", lambda x: x[label].eqNullSafe(F.col(label)))
+    return df.withColumn("_all", listed).withColumn(value, F.get(mine, F.lit(0))[value]).drop("_all")
+
+
 def sample_rows(
     df: DataFrame, n: int, key: Sequence[str], tie_break: Sequence[str] = (), salt: int = 0
 ) -> DataFrame:
@@ -95,7 +120,7 @@ def stratified_split(
     hashed = df.withColumn(HASH, key_hash(*key, salt=salt))
     order = list(dict.fromkeys([*key, *tie_break]))
     cut = cut_points(hashed, order, lambda size: F.round(size * F.lit(test_share)), [label])
-    flagged = null_safe_join(hashed, cut, [label], "left")
+    flagged = with_per_label(hashed, cut, label, "_cut")
     is_test = F.coalesce(_place(order) <= F.col("_cut"), F.lit(False))
     return flagged.withColumn(name, is_test).drop(HASH, "_cut")
 
@@ -111,4 +136,4 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    return null_safe_join(df, class_weights(df, label, name), [label])
+    return with_per_label(df, class_weights(df, label, name), label, name)
