@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 
 def exact_round(value: Column, digits: int) -> Column:
-    """Half-up rounding, once, to ``digits`` places of a decimal, given back as double.
+    """Half-up rounding on a decimal with fourteen places, given back as double.
 
     Rounding a bare double differs between engines where its decimal
-    expansion lies next to a tie. The cast itself rounds half up; all digits
-    that the places leave of the widest decimal stand before the point.
+    expansion lies next to a tie. What lies beyond fourteen places is noise
+    of the arithmetic; 24 digits are left before the point.
     """
-    return value.cast(f"decimal(38,{digits})").cast("double")
+    return F.round(value.cast("decimal(38,14)"), digits).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -106,7 +106,8 @@ def confidence_udf(caps: ScoreCaps, digits: int | None = 2) -> Callable[..., Col
         raw = raw_confidence_batch(caps, vaf, depth, alt_reads, mapq, actionable)
         if digits is None:
             return raw
-        return raw.round(digits)
+        # Half up, as the native form rounds; numpy's own rounding goes to even digits.
+        return np.floor(raw * 10.0**digits + 0.5) / 10.0**digits
 
     return score
 

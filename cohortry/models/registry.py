@@ -46,19 +46,31 @@ class ModelRegistry:
     # -- log ---------------------------------------------------------------
 
     def _events(self) -> DataFrame:
+        reader = self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true")
         try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self._log)
-        except AnalysisException:
+            return reader.parquet(self._log)
+        except AnalysisException as error:
+            # Only a log that is not there yet is an empty one.
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
     def _append(self, event: str, name: str, version: str, path: str | None = None,
                 signature: list | None = None, metrics: dict | None = None,
                 comment: str | None = None) -> None:
-        last = self._events().agg(F.max("seq")).first()[0] or 0
-        row = (last + 1, event, name, version, path, signature, metrics, comment)
-        # One new file per event; existing files are never rewritten.
-        frame = self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
-        frame.write.mode("append").parquet(self._log)
+        seq = (self._events().agg(F.max("seq")).first()[0] or 0) + 1
+        while True:
+            row = (seq, event, name, version, path, signature, metrics, comment)
+            frame = self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
+            # One new folder per event, never rewritten. Whoever comes second
+            # to a number finds its folder and takes the next one.
+            try:
+                frame.write.mode("error").parquet(f"{self._log}/event-{seq:012d}")
+                return
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+                seq += 1
 
     def versions(self, name: str | None = None) -> DataFrame:
         """Current versions, one row each, with the default one flagged."""
@@ -129,7 +141,9 @@ class ModelRegistry:
         self.register(name, version, PipelineModel.load(path), signature, **details)
 
     def drop_version(self, name: str, version: str) -> None:
-        self._entry(name, version)
+        """Drop a version; the default one only if it is the last one left."""
+        if self._entry(name, version)["is_default"] and self.versions(name).count() > 1:
+            raise VersionError(f"{name} {version} is the default; set another default first")
         self._append("drop", name, version)
 
     def set_default(self, name: str, version: str) -> None:

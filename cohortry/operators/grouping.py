@@ -184,6 +184,32 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure])
     return stitch(frames, keys).select(*keys, *[m.name for m in measures])
 
 
+# Kinds that can be aggregated by a foreign key before anything is joined.
+ADDITIVE = frozenset(("rows", "count_where", "rate", "total", "mean", "smallest", "largest", "any_true"))
+
+
+def partial_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """Aggregates per key that ``merged_stats`` folds into coarser keys; additive measures only."""
+    inputs = {m.name: f"_in_{i}" for i, m in enumerate(measures)}
+    prepared = df.select(*keys, *[_input(m).alias(inputs[m.name]) for m in measures if m.value is not None])
+    return prepared.groupBy(*keys).agg(
+        *[a.alias(f"_p{i}_{p}") for i, m in enumerate(measures) for p, a in _partials(m, inputs[m.name]).items()]
+    )
+
+
+def partial_names(measures: Sequence[Measure]) -> list[str]:
+    return [f"_p{i}_{p}" for i, m in enumerate(measures) for p in _partials(m, "x")]
+
+
+def merged_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """One row per key from rows that ``partial_stats`` made."""
+    folded = [
+        _finish(m, {p: _MERGE[p](F.col(f"_p{i}_{p}")) for p in _partials(m, "x")}).alias(m.name)
+        for i, m in enumerate(measures)
+    ]
+    return df.groupBy(*keys).agg(*folded).select(*keys, *[m.name for m in measures])
+
+
 def stitch(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Put frames with one row per key side by side; NULL keys match NULL keys.
 

@@ -31,6 +31,7 @@ class Field:
     kind: str = "dimension"
     synonyms: tuple[str, ...] = ()
     is_filter: bool = False
+    is_enum: bool = False
     private: bool = False
     description: str = ""
 
@@ -41,7 +42,8 @@ class Metric:
 
     Either ``kind`` and ``value`` (a row-level expression), which is the form
     that scales for distinct counts and medians, or ``expr``, any Spark SQL
-    aggregate expression. ``scale`` multiplies the result.
+    aggregate expression. ``scale`` multiplies the result; ``percent`` marks a
+    percentage, which a request may ask to round.
     """
 
     name: str
@@ -50,6 +52,7 @@ class Metric:
     expr: str | None = None
     decimals: int | None = None
     scale: int | None = None
+    percent: bool = False
     synonyms: tuple[str, ...] = ()
     private: bool = False
     description: str = ""
@@ -209,6 +212,7 @@ def _field(spec: dict[str, Any], kind: str) -> Field:
         kind=kind,
         synonyms=_texts(spec, "synonyms"),
         is_filter="filter" in (spec.get("labels") or ()),
+        is_enum=bool(spec.get("is_enum", False)),
         private=_is_private(spec),
         description=spec.get("description", ""),
     )
@@ -227,6 +231,7 @@ def _metric(spec: dict[str, Any]) -> Metric:
         expr=spec.get("expr"),
         decimals=spec.get("decimals"),
         scale=spec.get("scale"),
+        percent=bool(spec.get("percent", False)),
         synonyms=_texts(spec, "synonyms"),
         private=_is_private(spec),
         description=spec.get("description", ""),
@@ -291,6 +296,57 @@ def from_dict(spec: dict[str, Any]) -> SemanticModel:
     )
 
 
+def _named(item: Any, **parts: Any) -> dict[str, Any]:
+    """The specification of a part, without what is empty or a default."""
+    spec = {"name": item.name, **parts}
+    if item.synonyms:
+        spec["synonyms"] = list(item.synonyms)
+    if getattr(item, "private", False):
+        spec["access_modifier"] = "private_access"
+    if item.description:
+        spec["description"] = item.description
+    return {k: v for k, v in spec.items() if v not in (None, False)}
+
+
+def _field_spec(f: Field) -> dict[str, Any]:
+    labels = ["filter"] if f.is_filter else None
+    return _named(f, expr=f.expr, data_type=f.data_type, labels=labels, is_enum=f.is_enum)
+
+
+def to_dict(model: SemanticModel) -> dict[str, Any]:
+    """The specification that ``from_dict`` turns into an equal model."""
+    tables = []
+    for t in model.tables:
+        spec = _named(t, base_table=t.base_table, primary_key={"columns": list(t.primary_key)})
+        for key, kind in (("dimensions", "dimension"), ("time_dimensions", "time"), ("facts", "fact")):
+            spec[key] = [_field_spec(f) for f in t.fields if f.kind == kind]
+        spec["metrics"] = [
+            _named(m, kind=m.kind, value=m.value, expr=m.expr, decimals=m.decimals, scale=m.scale, percent=m.percent)
+            for m in t.metrics
+        ]
+        tables.append(spec)
+    return {
+        "name": model.name,
+        "default_filters": list(model.default_filters),
+        "tables": tables,
+        "relationships": [
+            {
+                "name": r.name, "left_table": r.many, "right_table": r.one,
+                "relationship_columns": [{"left_column": a, "right_column": b} for a, b in r.columns],
+            }
+            for r in model.relationships
+        ],
+        "metrics": [_named(d, numerator=d.numerator, denominator=d.denominator) for d in model.derived],
+        "verified_queries": list(model.verified.values()),
+    }
+
+
+def to_yaml(model: SemanticModel) -> str:
+    import yaml
+
+    return yaml.safe_dump(to_dict(model), sort_keys=False, allow_unicode=True)
+
+
 def from_yaml(path: str | Path) -> SemanticModel:
     import yaml
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.functions.scalars import exact_round
-from cohortry.operators.grouping import group_stats, stitch
+from cohortry.operators.grouping import ADDITIVE, Measure, group_stats, merged_stats, partial_names, partial_stats, stitch
 from cohortry.semantic.model import (
     DerivedMetric, Field, LogicalTable, Metric, ModelError, SemanticModel, field_column,
 )
@@ -65,7 +65,9 @@ class SemanticQuery:
 
     # -- plan parts --------------------------------------------------------
 
-    def attach(self, table: str, wanted: dict[str, dict[str, Column]]) -> DataFrame:
+    def attach(
+        self, table: str, wanted: dict[str, dict[str, Column]], base: DataFrame | None = None
+    ) -> DataFrame:
         """Rows of ``table`` with the wanted columns of itself and its parents.
 
         Parents are joined with their own parents first: a fact table is then
@@ -80,7 +82,7 @@ class SemanticQuery:
                 beyond.setdefault(first.name, {})[t] = dict(columns)
         keys = {a for name in beyond for a, _ in edges[name].columns}
         own = [c.alias(n) for n, c in wanted.get(table, {}).items()]
-        frame = self.base(table).select(
+        frame = (self.base(table) if base is None else base).select(
             *[F.col(k).alias(_name(table, f"key_{k}")) for k in sorted(keys)], *own
         )
         for name, below in beyond.items():
@@ -232,12 +234,14 @@ class SemanticQuery:
         }
         frames = []
         if kinds:
-            rows = self.restricted(table, dims, restrictions, inputs)
             measures = [
                 m.measure(None if m.value is None else F.col(_name(table.name, f"in_{m.name}")))
                 for m in kinds
             ]
-            stats = group_stats(rows, keys, measures)
+            stats = self._additive(table, measures, dims, keys, restrictions, inputs)
+            if stats is None:
+                rows = self.restricted(table, dims, restrictions, inputs)
+                stats = group_stats(rows, keys, measures)
             scaled = [
                 (F.col(m.name) * m.scale if m.scale else F.col(m.name)).alias(
                     _name(table.name, m.name)
@@ -254,6 +258,48 @@ class SemanticQuery:
             frames.append(rows.groupBy(*keys).agg(*aggs))
         return stitch(frames, keys)
 
+    def _additive(
+        self,
+        table: LogicalTable,
+        measures: Sequence[Measure],
+        dims: Sequence[tuple[str, Field]],
+        keys: list[str],
+        restrictions: Sequence[Restriction],
+        inputs: dict[str, Column],
+    ) -> DataFrame | None:
+        """The metrics of a table, aggregated by its foreign keys before its parents are joined.
+
+        None where that does not apply: for distinct counts and medians, for
+        filters on child tables, and where no parent is needed.
+        """
+        away = {t for t, _ in dims} | {r.table for r in restrictions}
+        away.discard(table.name)
+        paths = {t: self.model.path(table.name, t) for t in away}
+        if not away or any(p is None for p in paths.values()) or any(m.kind not in ADDITIVE for m in measures):
+            return None
+        foreign = sorted({a for p in paths.values() for a, _ in p[0].columns})
+        own = {_name(t, f.name): field_column(f) for t, f in dims if t == table.name}
+        rows = self.base(table.name)
+        for r in restrictions:
+            if r.table == table.name:
+                rows = rows.withColumn(r.column, field_column(r.field)).filter(r.test())
+        rows = rows.select(
+            *foreign, *[c.alias(n) for n, c in own.items()], *[c.alias(n) for n, c in inputs.items()]
+        )
+        counted = partial_stats(rows, [*foreign, *own], measures)
+        wanted = {table.name: {n: F.col(n) for n in (*own, *partial_names(measures))}}
+        for t, f in dims:
+            if t != table.name:
+                wanted.setdefault(t, {})[_name(t, f.name)] = field_column(f)
+        for r in restrictions:
+            if r.table != table.name:
+                wanted.setdefault(r.table, {})[r.column] = field_column(r.field)
+        frame = self.attach(table.name, wanted, counted)
+        for r in restrictions:
+            if r.table != table.name:
+                frame = frame.filter(r.test())
+        return merged_stats(frame, keys, measures)
+
     def _result(self, owner: str | None, metric: Metric | DerivedMetric, round_pct: int | None) -> Column:
         if isinstance(metric, DerivedMetric):
             top, bottom = (
@@ -264,7 +310,7 @@ class SemanticQuery:
         if metric.kind in ("rows", "count_where", "distinct"):
             # A group that the metric's table never reaches holds zero rows.
             value = F.coalesce(value, F.lit(0))
-        if round_pct is not None and metric.name.endswith("_pct"):
+        if round_pct is not None and metric.percent:
             return exact_round(value, round_pct)
         return value
 

@@ -104,10 +104,13 @@ def test_batch_form_handles_missing_values():
 
 def test_key_hash_matches_plain_integers_and_partitioning(spark):
     def want(*key, salt=0):
-        state = salt
+        state = 0
         for part in (p for k in key for p in (k >> 31, k)):
             state = ((state + part % 2**31) * 1103515245 + 12345) % 2**31
-        return state
+        state ^= (salt * 40503 * 65537 + salt) % 2**31
+        for _ in range(2):
+            state = (state ^ state >> 16) * 73244475 % 2**31
+        return state ^ state >> 16
 
     keys = [(0, 0), (1, 2), (2**40 + 3, 7), (2**62, 2**61), (-5, -(2**50))]
     df = spark.createDataFrame(keys, "a long, b long")
@@ -167,3 +170,20 @@ def test_keys_that_differ_only_far_up_are_spread(spark):
     df = spark.range(4096).select((F.col("id") * 2**31).alias("id"))
     buckets = df.select(F.shiftright(h.key_hash("id"), 15).alias("b")).distinct().count()
     assert buckets > 3000
+
+
+def test_salts_are_independent(spark):
+    """Two salts differ by no constant, and their quarters meet as often as chance has it."""
+    from cohortry.functions.hashing import key_hash
+
+    df = spark.range(20000).select(key_hash("id", salt=1).alias("a"), key_hash("id", salt=2).alias("b"))
+    assert df.select(((F.col("a") - F.col("b")) % 2147483648).alias("d")).distinct().count() > 19000
+    cells = df.groupBy(F.floor(F.col("a") / 2**29), F.floor(F.col("b") / 2**29)).count().collect()
+    assert len(cells) == 16 and all(1100 < r["count"] < 1400 for r in cells)
+
+
+def test_rounding_happens_once(spark):
+    row = spark.sql("SELECT 0.0049999999996D AS a, 1e23D AS b, -0.285D AS c").select(
+        scalars.exact_round(F.col("a"), 2), scalars.exact_round(F.col("b"), 2), scalars.exact_round(F.col("c"), 2)
+    ).first()
+    assert tuple(row) == (0.0, 1e23, -0.29)

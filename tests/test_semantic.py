@@ -75,7 +75,7 @@ def test_panel_genes_never_hit_stay(layer):
 
 def test_names_synonyms_and_errors(layer):
     run = layer.run
-    assert rows(run(["Tumour Type"], ["how many patients"])) == rows(run(["cancer_type"], ["patient_count"]))
+    assert rows(run(["Segment"], ["Number of Patients"])) == rows(run(["cancer_type"], ["patient_count"]))
     for dims, metrics, where in (
         ([], ["nothing"], ()), (["nothing"], ["total_calls"], ()), ([], [], ()),
         (["calls.f_is_pass"], ["total_calls"], ()), (["calls.f_vaf"], ["total_calls"], ()),
@@ -178,3 +178,24 @@ def test_parity_shows_differences(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "k int, v string")
     b = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "k int, v string")
     assert rows(parity(a, b, ["k", "v"])) == [(1, "x", 2, 1), (2, None, 1, 1), (3, "y", 0, 1)]
+
+
+def test_export_round_trip():
+    import yaml
+
+    from cohortry.semantic.model import cohort_model, from_dict, to_yaml
+
+    model = cohort_model()
+    assert from_dict(yaml.safe_load(to_yaml(model))) == model
+
+
+def test_additive_metrics_reach_the_join_grouped(spark):
+    """Calls are counted by draw before draws are joined."""
+    from cohortry.plans.queries import semantic
+    from cohortry.sources.tables import mapped
+
+    layer = semantic(mapped(spark, "/root/testdata/sf0.001"))
+    plan = layer.run(["specimens.lab_site"], ["calls.reportable_calls"])._jdf.queryExecution().optimizedPlan().toString()
+    lines = [x.strip(" +-:") for x in plan.split("\n")]
+    join = next(i for i, x in enumerate(lines) if x.startswith("Join"))
+    assert any(x.startswith("Aggregate") for x in lines[join + 1 :])

@@ -71,3 +71,20 @@ def test_themes_match_a_plain_count(cohort):
 def test_group_without_terms_stays(spark):
     df = spark.createDataFrame([("a", "word word"), ("b", "xx")], "g string, t string")
     assert rows(tx.themes(df, "g", "t")) == [("a", 1, "word"), ("b", 1, None)]
+
+
+def test_long_numbers_and_word_edges(spark):
+    from cohortry.plans.queries import FIELDS, LABELS
+    from cohortry.operators import text as tx
+    from pyspark.sql import functions as F
+
+    rows = [(1, "id 2123465659789240 x"), (2, "n 99999999999999999999"), (3, "The end, and"), (4, "xyz")]
+    df = spark.createDataFrame(rows, "k int, t string")
+    got = {
+        r.k: (r.n, r.l)
+        for r in df.select(
+            "k", tx.extract(F.col("t"), FIELDS)["first_number"].alias("n"),
+            tx.classify(tx.padded(F.col("t")), LABELS, otherwise="unknown").alias("l"),
+        ).collect()
+    }
+    assert got == {1: (2123465659789240, "unknown"), 2: (None, "unknown"), 3: (None, "english"), 4: (None, "unknown")}
