@@ -11,10 +11,11 @@ levels miss it with a chance below 0.0001 (and more similar pairs far more rarel
 
 Equal sets are merged first, so a group of copies is one row whatever its size.
 Candidates whose minwise tokens agree too rarely are set aside (a pair at the
-threshold with a chance below 0.000001); the others are confirmed on full sets.
-In a dense node every member is first compared to one of them. Members that are
-still in another component than the node's largest are then compared to all
-members of other components, so that no pair of a dense node stays undecided.
+threshold with a chance of 0.0001); the others are confirmed on full sets.
+In a dense node every member is first compared to a few of them. Members that are
+still in another component than the node's largest are then joined exactly with
+all members of other components: similar sets share one of their rarest tokens,
+so that no pair of a dense node stays undecided and few are compared.
 
 Defined cases: NULL and empty texts, and texts without words, have no shingle and
 stand alone; rows that repeat an id keep their rows and share the id; a component
@@ -31,6 +32,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortry.llm.common import Computed, packed, table, whole, with_computed
 from cohortry.llm.shingles import WordHashes, multipliers, shingle_set, word_list
@@ -41,11 +43,12 @@ PERCENT = 80
 TREES = 6
 BRANCHES = 2
 LEVELS = 8
-TOKENS = 48
-LEAST_AGREE = 24
+TOKENS = 96
+LEAST_AGREE = 62
+CENTERS = 2
 SMALL_NODE = 16
 # A child with at least this share of its parent's rows does not shrink any more.
-DENSE_SHARE = 0.5
+DENSE_SHARE = 0.75
 BLOCK = 4096
 
 
@@ -165,24 +168,58 @@ def small_pairs(small: DataFrame) -> DataFrame:
 
 
 def star_pairs(dense: DataFrame) -> DataFrame:
-    """Each member of a dense node with the node's smallest member."""
-    centers = dense.groupBy("node").agg(F.min("cid").alias("a"))
-    return dense.join(centers, "node").filter(F.col("cid") > F.col("a")).select("a", F.col("cid").alias("b"))
+    """Each member of a dense node with some members drawn by a hash, others in each node."""
+    drawn = Window.partitionBy("node").orderBy(F.xxhash64("node", "cid"), "cid")
+    centers = dense.withColumn("at", F.row_number().over(drawn)).filter(F.col("at") <= CENTERS)
+    centers = centers.select("node", F.col("cid").alias("center"))
+    met = dense.join(centers, "node").filter(F.col("cid") != F.col("center"))
+    return met.select(F.least("cid", "center").alias("a"), F.greatest("cid", "center").alias("b"))
 
 
-def open_pairs(dense: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of members of a dense node in different components, but not both in the largest."""
+def unsettled(dense: DataFrame, labels: DataFrame) -> DataFrame:
+    """(cid, comp) of members that some dense node holds outside its largest component."""
     named = dense.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     per_comp = named.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("n"))
-    largest = per_comp.groupBy("node").agg(
-        F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")
-    ).filter(F.col("comps") > 1).select("node", F.col("top.comp").alias("top"))
-    split = checkpointed(named.join(largest, "node"))
-    rest = split.filter(F.col("comp") != F.col("top")).select(
-        "node", F.col("cid").alias("x"), F.col("comp").alias("x_comp")
+    largest = per_comp.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"))
+    apart = named.join(largest.select("node", F.col("top.comp").alias("top")), "node")
+    return apart.filter(F.col("comp") != F.col("top")).select("cid", "comp").distinct()
+
+
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(cid, token, at, n): the rarest tokens of each set of ``n``; similar sets share at least one.
+
+    A set that reaches the threshold with another has at most ``100 - percent``
+    per cent of its tokens outside it, so among one more than that, taken in an
+    order that is the same for all sets, one is shared.
+    """
+    tokens = sets.select("cid", F.explode("shingles").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    ordered = tokens.join(counts, "token").groupBy("cid").agg(
+        F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t")
+    )
+    least = F.ceil(F.size("t") * F.lit(percent) / 100).cast("int")
+    rarest = F.slice("t", F.lit(1), F.size("t") - least + 1)
+    return ordered.select("cid", F.size("t").alias("n"), F.posexplode(rarest).alias("at", "x")).select(
+        "cid", "x.token", "at", "n"
     )
-    met = split.join(rest, "node").filter(F.col("comp") != F.col("x_comp"))
-    return met.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b"))
+
+
+def open_pairs(dense: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs that may be similar of an unsettled member and a member of another component."""
+    rest = checkpointed(unsettled(dense, labels))
+    members = dense.select("cid").distinct().join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    chosen = checkpointed(prefixes(sets.join(members, "cid", "left_semi"), percent))
+    one = chosen.join(rest, "cid").select(
+        "token", F.col("cid").alias("x"), F.col("comp").alias("x_comp"), F.col("at").alias("x_at"), F.col("n").alias("x_n")
+    )
+    two = chosen.join(members, "cid").select(
+        "token", F.col("cid").alias("y"), F.col("comp").alias("y_comp"), F.col("at").alias("y_at"), F.col("n").alias("y_n")
+    )
+    # No token before the first shared one is shared, so from it on enough tokens must be left.
+    left = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    enough = left * (100 + percent) >= (F.col("x_n") + F.col("y_n")) * percent
+    met = one.join(two, "token").filter((F.col("x_comp") != F.col("y_comp")) & enough)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -248,19 +285,15 @@ def near_duplicates(
     dense = checkpointed(dense)
     pairs = checkpointed(likely(small_pairs(small).union(star_pairs(dense)), classes, percent))
 
-    def verify(candidates: DataFrame) -> DataFrame:
-        ends = candidates.select(F.col("a").alias("cid")).union(candidates.select("b")).distinct()
-        wanted = classes.join(ends, "cid", "left_semi").select("cid", "rep", "k1", "k2")
-        sets = checkpointed(shingle_sets(docs, wanted, text, doc_id, words))
-        return checkpointed(confirmed(candidates, sets, percent))
-
-    edges = verify(pairs)
+    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(dense.select("cid")).distinct()
+    wanted = classes.join(ends, "cid", "left_semi").select("cid", "rep", "k1", "k2")
+    sets = checkpointed(shingle_sets(docs, wanted, text, doc_id, words))
+    edges = checkpointed(confirmed(pairs, sets, percent))
     labels = components(edges)
     if not dense.isEmpty():
-        more = checkpointed(likely(open_pairs(dense, labels), classes, percent).join(pairs, ["a", "b"], "left_anti"))
-        if not more.isEmpty():
-            edges = edges.union(verify(more))
-            labels = components(edges)
+        more = checkpointed(likely(open_pairs(dense, labels, sets, percent), classes, percent))
+        edges = edges.union(confirmed(more, sets, percent))
+        labels = components(edges)
     named = classes.select("k1", "k2", "cid", "rep").join(labels, "cid", "left").withColumn(
         "comp", F.coalesce("comp", "cid")
     )
