@@ -50,6 +50,7 @@ WINDOWS_PER_PART = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 BLOCK = 65_536
+PLACES_AT_ONCE = 100_000
 
 
 def window_hashes(words: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -127,15 +128,32 @@ def texts_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> Data
 
 
 def places(held: DataFrame, window: int) -> DataFrame:
-    """(phrase, words, windows, single, n): a row per place of a repeated phrase in a class of ``n`` rows.
+    """(phrase, words, windows, single, n): the places of repeated phrases, equal ones of a task counted together.
 
-    ``held``: cid, n, text, phrases (the repeated ones the text holds).
+    ``held``: cid, n, text, phrases (the repeated ones the text holds). ``n`` counts
+    rows; ``words`` is given once per phrase and task; ``single`` says whether a
+    class of one row has the place.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
+        found: dict[tuple[int, bytes, bool], int] = {}
+        spelled: dict[int, str] = {}
+
+        def flushed() -> pd.DataFrame:
+            keys = list(found)
+            frame = pd.DataFrame(
+                {
+                    "phrase": [k[0] for k in keys], "words": [spelled.pop(k[0], None) for k in keys],
+                    "windows": [np.frombuffer(k[1], dtype=np.int64) for k in keys],
+                    "single": [k[2] for k in keys], "n": [found[k] for k in keys],
+                }
+            )
+            found.clear()
+            spelled.clear()
+            return frame
+
         for batch in batches:
-            out: dict[str, list] = {"phrase": [], "words": [], "windows": [], "single": [], "n": []}
             for t, repeated, n in zip(batch["text"], batch["phrases"], batch["n"], strict=True):
                 words = word_list(t, lower=False)
                 h = hashes.of(words)
@@ -146,13 +164,15 @@ def places(held: DataFrame, window: int) -> DataFrame:
                 last = np.append(first[1:], len(marked))
                 hit = np.isin(phrases[at].view(np.int64), np.asarray(repeated, dtype=np.int64))
                 for p, a, b in zip(at[hit].tolist(), first[hit].tolist(), last[hit].tolist(), strict=True):
-                    out["phrase"].append(int(phrases[p].view(np.int64)))
-                    out["words"].append(b" ".join(words[p : p + PHRASE]).decode("utf-8", "surrogatepass"))
-                    out["windows"].append(windows[a:b])
-                    out["single"].append(n == 1)
-                    out["n"].append(n)
-            if out["phrase"]:
-                yield pd.DataFrame(out)
+                    phrase = int(phrases[p].view(np.int64))
+                    key = (phrase, windows[a:b].tobytes(), n == 1)
+                    found[key] = found.get(key, 0) + n
+                    if phrase not in spelled:
+                        spelled[phrase] = b" ".join(words[p : p + PHRASE]).decode("utf-8", "surrogatepass")
+                if len(found) > PLACES_AT_ONCE:
+                    yield flushed()
+        if found:
+            yield flushed()
 
     return held.select("text", "phrases", "n").mapInPandas(
         run, "phrase long, words string, windows array<long>, single boolean, n long"
@@ -199,7 +219,7 @@ def located(routed: DataFrame, shards: DataFrame, window: int) -> DataFrame:
         if not len(texts) or not len(patterns):
             return NOTHING
         machine = Automaton(
-            patterns["words"].drop_duplicates().tolist(), np.unique(patterns["window"].to_numpy(dtype=np.int64)), window
+            patterns["words"].tolist(), np.unique(np.concatenate(patterns["windows"].to_list())).astype(np.int64), window
         )
         found = [machine.starts(t) for t in texts["text"]]
         kept = [i for i, f in enumerate(found) if len(f)]
@@ -261,8 +281,8 @@ def repeated_passages(docs: DataFrame, window: int, text: str, doc_id: str) -> t
         .filter((F.col("places") > 1) & (F.col("single") == 1))
         .select("phrase", "window")
     )
-    words = at.groupBy("phrase").agg(F.first("words").alias("words"))
-    patterns = checkpointed(confirmed.join(words, "phrase").join(repeated, "phrase"))
+    words = at.filter(F.col("words").isNotNull()).groupBy("phrase").agg(F.max("words").alias("words"))
+    patterns = checkpointed(confirmed.join(repeated, "phrase"))
 
     n_shards = max(1, -(-patterns.select("phrase").distinct().count() // PHRASES_PER_SHARD))
     shard = F.pmod(F.xxhash64("home"), F.lit(n_shards)).alias("shard")
@@ -281,8 +301,15 @@ def repeated_passages(docs: DataFrame, window: int, text: str, doc_id: str) -> t
         "cid", "shard", F.pmod(F.xxhash64("cid"), F.greatest("salts", F.lit(1))).cast("int").alias("salt"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
     )
-    shards = patterns.select(shard, "words", "window").join(layout, "shard").select(
-        "shard", "words", "window", F.pmod("window", F.col("parts")).cast("int").alias("part"),
+    # One row per phrase and part; a part has a bounded number of windows.
+    part = F.pmod("window", F.col("parts")).cast("int").alias("part")
+    listed = (
+        patterns.select(shard, "phrase", "window").join(layout, "shard")
+        .groupBy("phrase", "shard", part, "salts").agg(F.collect_list("window").alias("windows"))
+        .join(words, "phrase")
+    )
+    shards = listed.select(
+        "shard", "part", "words", "windows",
         F.explode(F.sequence(F.lit(0), F.greatest("salts", F.lit(1)) - 1)).alias("salt"),
     )
     streamed = routed.join(held.select("cid", "text"), "cid").select("cid", "text", "shard", "salt", "part")
