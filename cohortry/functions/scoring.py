@@ -106,8 +106,12 @@ def confidence_udf(caps: ScoreCaps, digits: int | None = 2) -> Callable[..., Col
         raw = raw_confidence_batch(caps, vaf, depth, alt_reads, mapq, actionable)
         if digits is None:
             return raw
-        # Half up, as the native form rounds; numpy's own rounding goes to even digits.
-        return np.floor(raw * 10.0**digits + 0.5) / 10.0**digits
+        scaled = raw * 10.0**digits
+        rounded = np.rint(scaled) / 10.0**digits
+        # Next to a tie the product is not exact; the few values there are rounded from their own digits.
+        tie = (scaled - np.floor(scaled) - 0.5).abs() < 1e-6
+        rounded[tie] = [round(x, digits) for x in raw[tie]]
+        return rounded
 
     return score
 
