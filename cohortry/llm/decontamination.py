@@ -85,7 +85,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]]) -> None:
         self.item_ids: list[int] = []
-        self.questions, self.answers = [], []
+        self.questions, self.answers, self.sizes = [], [], []
         self.pieces: list[tuple[int, Counter]] = []
         for item_id, text in rows:
             words = terms_of(text)
@@ -95,6 +95,7 @@ class Items:
             self.item_ids.append(item_id)
             self.questions.append(triples(question or answer))
             self.answers.append(set(answer))
+            self.sizes.append(len(words))
             count = -(-len(words) // HALF)
             size = -(-len(words) // count)
             for at in range(0, len(words), size):
@@ -282,8 +283,9 @@ class Search:
                     best[key] = (score, (row - int(first[doc])) * HALF)
         found = []
         for (doc, item), (score, at) in sorted(best.items()):
-            # Half a passage more on both sides, for items that are longer than a piece.
-            around = texts[doc][max(0, at - HALF) : at + 3 * HALF]
+            # As much on both sides as the item is long, as its pieces may lie in several passages.
+            more = max(HALF, index.items.sizes[item])
+            around = texts[doc][max(0, at - more) : at + 2 * HALF + more]
             question, answer = index.items.questions[item], index.items.answers[item]
             q = len(question & triples_in(around, question)) / max(1, len(question))
             a = len(answer & set(around)) / max(1, len(answer))
