@@ -250,26 +250,30 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(cid, comp) for all ends of edges; comp is the smallest cid reachable.
 
-    Each round takes the smallest label among the neighbours and then follows
-    that label once, until no label changes.
+    Each round a label takes the smallest label next to it, and that one's in
+    turn; then the edges are drawn between the new labels. Edges within a label
+    vanish, so what a round joins shrinks fast, however dense a group was.
     """
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    both = checkpointed(both.union(both.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-    labels = checkpointed(
-        both.groupBy(F.col("u").alias("cid")).agg(F.min("v").alias("m")).select("cid", F.least("cid", "m").alias("comp"))
-    )
-    while True:
-        near = both.join(labels.select(F.col("cid").alias("v"), "comp"), "v").groupBy(F.col("u").alias("cid")).agg(
-            F.min("comp").alias("m")
+    now = checkpointed(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    ends = now.select(F.col("u").alias("cid")).union(now.select("v")).distinct()
+    labels = checkpointed(ends.withColumn("comp", F.col("cid")))
+    while not now.isEmpty():
+        both = now.union(now.select("v", "u"))
+        near = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("to"))
+        far = near.select(F.col("u").alias("to"), F.col("to").alias("far"))
+        step = checkpointed(near.join(far, "to").select("u", F.least("to", "far").alias("to")))
+        moved = step.select(F.col("u").alias("comp"), "to")
+        labels = checkpointed(
+            labels.join(moved, "comp", "left").select("cid", F.coalesce("to", "comp").alias("comp"))
         )
-        stepped = labels.join(near, "cid").select("cid", F.col("comp").alias("old"), F.least("comp", "m").alias("comp"))
-        jump = labels.select(F.col("cid").alias("comp"), F.col("comp").alias("far"))
-        moved = checkpointed(
-            stepped.join(jump, "comp", "left").select("cid", "old", F.least("comp", F.coalesce("far", "comp")).alias("comp"))
+        one = now.join(step, "u").select(F.col("to").alias("x"), "v")
+        two = one.join(step.withColumnRenamed("u", "v"), "v").select("x", F.col("to").alias("y"))
+        now = checkpointed(
+            two.filter(F.col("x") != F.col("y"))
+            .select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
+            .distinct()
         )
-        labels = moved.select("cid", "comp")
-        if moved.filter(F.col("old") != F.col("comp")).isEmpty():
-            return labels
+    return labels
 
 
 def near_duplicates(
