@@ -28,7 +28,6 @@ empty tables give no rows; extra columns are not read.
 from __future__ import annotations
 
 import heapq
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator

@@ -17,7 +17,6 @@ columns are read, so other columns may have any name.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -175,9 +174,3 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, key: str = "d
 
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(table(spark, folder, "documents"))
-
-
-def spread(sizes: Iterator[int]) -> int:
-    """Difference of the largest and the smallest shard."""
-    values = list(sizes)
-    return max(values) - min(values) if values else 0
