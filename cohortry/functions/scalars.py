@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 
 def exact_round(value: Column, digits: int) -> Column:
-    """Half-up rounding on a decimal with fourteen places, given back as double.
+    """Half-up rounding on a decimal with ten places, given back as double.
 
     Rounding a bare double differs between engines where its decimal
-    expansion lies next to a tie. What lies beyond fourteen places is noise
-    of the arithmetic; 24 digits are left before the point.
+    expansion lies next to a tie. What lies beyond ten places counts as
+    noise of the arithmetic, and engines convert doubles alike only up to about
+    there; 28 digits are left before the point.
     """
-    return F.round(value.cast("decimal(38,14)"), digits).cast("double")
+    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -426,9 +426,9 @@ def top_confidence(c: Cohort) -> DataFrame:
     order = ", ".join(c.call_order)
     return c.spark.sql(
         f"""
-        SELECT {", ".join(c.call_key)}, gene_symbol, round(CAST(vaf * 100 AS DECIMAL(38, 14)), 3) AS vaf_raw,
+        SELECT {", ".join(c.call_key)}, gene_symbol, round(CAST(vaf * 100 AS DECIMAL(38, 10)), 3) AS vaf_raw,
                read_depth, alt_read_count, clinical_significance,
-               CAST(round(CAST(cohort_confidence({", ".join(w.FEATURES)}, is_actionable) AS DECIMAL(38, 14)), 2) AS DOUBLE)
+               CAST(round(CAST(cohort_confidence({", ".join(w.FEATURES)}, is_actionable) AS DECIMAL(38, 10)), 2) AS DOUBLE)
                  AS confidence
         FROM reportable_calls WHERE is_actionable
         ORDER BY confidence DESC NULLS LAST, {order} LIMIT 20

