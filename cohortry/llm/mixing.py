@@ -7,6 +7,12 @@ which every cell's sampling probability is at most one and the expected tokens
 meet the budget, and a document is kept if the hash of its id falls below its
 cell's probability: a pure function of the id, so lost work is redone alike.
 
+A cell with fewer tokens than its target asks for is kept whole by that, and the
+drawn rows alone miss the margins. So each cell also has its expected copies
+(weight per token times the budget, above one for such cells), and each row its
+``copies``, drawn from the same hash: rows repeated that often have the budget
+and the target shares in expectation, rare cells included.
+
 The targets of a margin are its token shares, tempered by a power below one
 (small classes gain) or given as a table. Defined cases: NULL classes are one
 more class; NULL or empty texts have no tokens, count as one row in their cell
@@ -109,6 +115,16 @@ def probabilities(fitted: DataFrame, budget: float) -> DataFrame:
     return cells.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(float(factor or 0.0))))
 
 
+def expected_copies(cells: DataFrame, budget: float) -> DataFrame:
+    """Cells with ``expected``: how often a row must occur for its cell to have its weight's share of ``budget``.
+
+    In cells that are not sure it is at most the probability, as what sure cells
+    lack was spread over the others there.
+    """
+    total = cells.agg(F.sum("weight").alias("n")).first()["n"] or 0.0
+    return cells.withColumn("expected", F.col("ratio") * F.lit(budget / total if total else 0.0))
+
+
 def mix(
     docs: DataFrame,
     keep_share: float = KEEP_SHARE,
@@ -122,7 +138,7 @@ def mix(
     targets: Mapping[str, DataFrame] | None = None,
     seed: str = "",
 ) -> DataFrame:
-    """(row, topic, tokens, probability) of the kept rows; ``row`` holds the columns of ``docs``.
+    """(row, topic, tokens, probability, copies) of the kept rows; ``row`` holds the columns of ``docs``.
 
     The texts are read for the cell counts and again for the sample; they are not shuffled.
     """
@@ -140,8 +156,11 @@ def mix(
     wanted = dict(targets) if targets else {m: checkpointed(tempered_targets(cells, m, temper)) for m in MARGINS}
     fitted = rake(cells, wanted, rounds)
     total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    chances = checkpointed(probabilities(fitted, keep_share * float(total)).select(*MARGINS, "probability"))
-    chances = chances.select(*(F.col(m).alias(f"c_{m}") for m in MARGINS), "probability")
+    budget = keep_share * float(total)
+    chances = expected_copies(probabilities(fitted, budget), budget)
+    chances = checkpointed(chances.select(*MARGINS, "probability", "expected"))
+    chances = chances.select(*(F.col(m).alias(f"c_{m}") for m in MARGINS), "probability", "expected")
+    more = (F.col("draw") < F.col("expected") - F.floor("expected")).cast("int")
     match = (
         F.col("source").eqNullSafe(F.col("c_source"))
         & F.col("lang").eqNullSafe(F.col("c_lang"))
@@ -150,12 +169,21 @@ def mix(
     return (
         drawn.join(chances, match)
         .filter(F.col("draw") < F.col("probability"))
-        .select("row", "topic", "tokens", "probability")
+        .select("row", "topic", "tokens", "probability", (F.floor("expected").cast("int") + more).alias("copies"))
     )
 
 
+def repeated(mixed: DataFrame) -> DataFrame:
+    """The rows of ``mix``, each as often as its copies; a row with none is left out."""
+    return mixed.filter(F.col("copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy")
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """The sampled documents of the whole table, with their probability and sample weight."""
+    """The sampled documents of the whole table, with their probability of at most one.
+
+    Copies are not part of this result, so its margins miss their targets where
+    cells are kept whole; ``repeated`` meets them.
+    """
     documents = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     return mix(documents).select(
         "row.doc_id", "row.source", "row.lang", "topic", "tokens", F.round("probability", 6).alias("probability")

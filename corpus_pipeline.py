@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortry.llm.common import table
 from cohortry.llm.decontamination import without_leaks
-from cohortry.llm.mixing import mix
+from cohortry.llm.mixing import mix, repeated
 from cohortry.llm.near_dedup import one_of_each
 from cohortry.llm.sharding import shard_documents
 from cohortry.llm.toxicity import model_for, without_toxic
@@ -37,8 +37,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics meet their target weights."""
-    return mix(docs).select("row.*")
+    """Documents drawn, and repeated where rare, so that sources, languages and topics meet their target weights."""
+    return repeated(mix(docs)).select("row.*")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

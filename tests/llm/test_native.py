@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortry.llm import fingerprints as fp
-from cohortry.llm.mixing import KEEP_SHARE, MARGINS, mix, probabilities, rake, tempered_targets
+from cohortry.llm.mixing import KEEP_SHARE, MARGINS, layout_topic, mix, probabilities, rake, repeated, tempered_targets, token_count
 from cohortry.llm.secret_scan import scan_secrets
 from cohortry.llm.sharding import difference, shard_documents, write_shards
 from tests.llm.conftest import CLASHING, SMALL, prose, table_rows
@@ -142,6 +142,28 @@ def test_raking_meets_the_targets(spark):
     assert share == pytest.approx(KEEP_SHARE, abs=0.2)
 
 
+def shares_off(drawn, cells):
+    """Largest distance of a margin value's token share from its target, in rows (source, lang, topic, tokens)."""
+    off = 0.0
+    for m in MARGINS:
+        want = {r[m]: r["target"] for r in tempered_targets(cells, m).collect()}
+        got = {r[m]: r["n"] for r in drawn.groupBy(m).agg(F.sum("tokens").alias("n")).collect()}
+        total = sum(got.values())
+        off = max(off, *(abs(got.get(v, 0) / total - t) for v, t in want.items()))
+    return off
+
+
+def test_drawn_rows_meet_the_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    cells = docs.select("source", "lang", layout_topic(F.col("text")).alias("topic"), token_count(F.col("text")).alias("tokens"))
+    mixed = mix(docs)
+    drawn = repeated(mixed).select("row.source", "row.lang", "topic", "tokens").cache()
+    assert shares_off(drawn, cells) < 0.02
+    budget = KEEP_SHARE * cells.agg(F.sum("tokens")).first()[0]
+    assert drawn.agg(F.sum("tokens")).first()[0] == pytest.approx(budget, rel=0.05)
+    assert shares_off(mixed.select("row.source", "row.lang", "topic", "tokens"), cells) > 0.1
+
+
 def test_mixing_of_odd_rows(documents):
     kept = mix(documents).select("row.*")
     assert kept.columns == documents.columns
