@@ -8,6 +8,12 @@ vector per bucket. Those vectors are differenced in the same way, many buckets
 per task, level by level, until one partition is left. No task and no driver
 ever holds more than ``fan_in`` partitions, whatever the size of the table.
 
+A group that is large next to a bucket cannot be offset in it, nor by the other
+buckets, as their parts are even. So large groups are kept out of the buckets
+and differenced first. Each bucket then starts from its share of what they
+put into each shard, and fills up what they left. Places stay as they are then:
+the part sums of such buckets are added as they stand.
+
 Defined cases: a NULL text counts as the empty text; a NULL id is an ordinary
 value; repeated rows are separate rows of one group; an empty table gives no
 rows; a group larger than an ideal shard fills a shard alone. Only the named
@@ -29,6 +35,8 @@ from cohortry.session import checkpointed
 SHARDS = 16
 FAN_IN = 4096
 ROWS_PER_RUN = 20_000
+# How often the bound for large groups is taken anew from what is left.
+LARGE_ROUNDS = 4
 
 
 def difference(vectors: list[list[int]], parts: int) -> list[list[int]]:
@@ -82,12 +90,77 @@ def _difference_bucket(parts: int):
     return run
 
 
+def _fill_bucket(parts: int, taken: list[int], rest: int):
+    """One task's work: the groups of a bucket to parts, so that they fill up what ``taken`` leaves."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["g1", "g2"], kind="stable").reset_index(drop=True)
+        mine = [int(b) for b in rows["bytes"]]
+        share = sum(mine)
+        places = difference([[t * share // rest for t in taken]] + [[b] + [0] * (parts - 1) for b in mine], parts)
+        part_of = {to: part for part, to in enumerate(places[0])}
+        return pd.DataFrame({"g1": rows["g1"], "g2": rows["g2"], "shard": [part_of[p[0]] for p in places[1:]]})
+
+    return run
+
+
+def large_bound(groups: DataFrame, count: int, shards: int, fan_in: int) -> tuple[float, int]:
+    """(bound, bytes below it): groups above the bound are no even filling of a bucket's parts.
+
+    The bound is a bucket's ideal part of what is not above it. Each round adds
+    fewer than ``most`` groups, so all of them are fewer than the groups.
+    """
+    most = min(shards, fan_in // 16) * -(-count // fan_in)
+    total = groups.agg(F.sum("bytes").alias("n")).first()["n"] or 0
+    bound, rest = float("inf"), total
+    for _ in range(LARGE_ROUNDS if most else 0):
+        if not rest or rest / most >= bound:
+            break
+        bound = rest / most
+        below = groups.filter(F.col("bytes") <= bound).agg(F.sum("bytes").alias("n")).first()["n"] or 0
+        if below == rest:
+            break
+        rest = below
+    return bound, rest
+
+
+def water_level(sums: list[int], rest: int) -> float:
+    """The height to which ``rest`` fills parts of the given sums."""
+    filled = 0
+    for n, s in enumerate(sorted(sums)):
+        if n and s * n - filled >= rest:
+            return (filled + rest) / n
+        filled += s
+    return (filled + rest) / len(sums)
+
+
 def group_parts(groups: DataFrame, shards: int = SHARDS, fan_in: int = FAN_IN) -> DataFrame:
-    """Rows (g1, g2, bytes), one per group, to (g1, g2, shard) by levels of differencing."""
-    spark = groups.sparkSession
+    """Rows (g1, g2, bytes), one per group, to (g1, g2, shard), large groups first."""
+    count = groups.count()
+    if count > fan_in:
+        groups = checkpointed(groups)
+        bound, rest = large_bound(groups, count, shards, fan_in)
+        large = groups.filter(F.col("bytes") > bound)
+        if rest and not large.isEmpty():
+            placed = checkpointed(group_parts(large, shards, fan_in).select("g1", "g2", "shard"))
+            sums = placed.join(large, ["g1", "g2"]).groupBy("shard").agg(F.sum("bytes").alias("n")).collect()
+            filled = [0] * shards
+            for row in sums:
+                filled[row["shard"]] = row["n"]
+            level = water_level(filled, rest)
+            taken = [int(min(f, level)) for f in filled]
+            small = groups.filter(F.col("bytes") <= bound)
+            nodes = -(-small.count() // fan_in)
+            fill = _fill_bucket(shards, taken, rest)
+            dealt = small.withColumn("node", F.pmod(F.col("g1"), F.lit(nodes))).groupBy("node")
+            return placed.union(dealt.applyInPandas(fill, "g1 long, g2 long, shard int"))
+    return parts_by_levels(groups, count, shards, fan_in)
+
+
+def parts_by_levels(groups: DataFrame, count: int, shards: int, fan_in: int) -> DataFrame:
+    """(g1, g2, shard) by levels of differencing."""
     result = "node long, child string, place array<int>, totals array<long>"
     zeros = F.array_repeat(F.lit(0).cast("bigint"), shards - 1)
-    count = groups.count()
     nodes = max(1, -(-count // fan_in))
     level = groups.select(
         F.pmod(F.col("g1"), F.lit(nodes)).alias("node"),
@@ -115,7 +188,7 @@ def group_parts(groups: DataFrame, shards: int = SHARDS, fan_in: int = FAN_IN) -
         nodes = above
     ends = F.split("child", ":")
     return leaves.select(
-        ends[0].cast("bigint").alias("g1"), ends[1].cast("bigint").alias("g2"), F.col("part").alias("shard")
+        ends[0].cast("bigint").alias("g1"), ends[1].cast("bigint").alias("g2"), F.col("part").cast("int").alias("shard")
     )
 
 

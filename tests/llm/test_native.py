@@ -1,6 +1,7 @@
 """Fingerprints, secrets, mixing and sharding."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortry.llm import fingerprints as fp
 from cohortry.llm.mixing import KEEP_SHARE, MARGINS, layout_topic, mix, probabilities, rake, repeated, tempered_targets, token_count
 from cohortry.llm.secret_scan import scan_secrets
-from cohortry.llm.sharding import difference, shard_documents, write_shards
+from cohortry.llm.sharding import difference, group_parts, shard_documents, water_level, write_shards
 from tests.llm.conftest import CLASHING, SMALL, prose, table_rows
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -211,6 +212,30 @@ def test_shards_of_the_test_table(spark):
     assert all(len(v) == 1 for v in shard_of.values())
 
 
+@pytest.mark.parametrize("hot", [0.0, 0.04, 0.33])
+def test_large_groups_are_offset_over_buckets(spark, hot):
+    """Twelve buckets and one group of a share of all bytes."""
+    draw = random.Random(7)
+    sizes = [int(1000 * draw.lognormvariate(0, 1)) + 1 for _ in range(3000)]
+    if hot:
+        sizes.append(int(sum(sizes) * hot / (1 - hot)))
+    rows = [(draw.getrandbits(63) - 2**62, i, n) for i, n in enumerate(sizes)]
+    groups = spark.createDataFrame(rows, "g1 long, g2 long, bytes long")
+    placed = group_parts(groups, 16, 256).collect()
+    assert sorted(r.g2 for r in placed) == list(range(len(sizes)))
+    sums = Counter()
+    for r in placed:
+        sums[r.shard] += sizes[r.g2]
+    if hot > 1 / 16:
+        assert max(sums.values()) == sizes[-1]
+        del sums[max(sums, key=sums.get)]
+    assert max(sums.values()) - min(sums.values()) < 0.02 * sum(sums.values()) / len(sums)
+
+
+def test_water_level():
+    assert water_level([0, 0], 10) == 5 and water_level([8, 0, 2], 4) == 3 and water_level([0, 100], 3) == 3
+
+
 def test_shards_of_odd_rows(documents, plain_rows, tmp_path):
     check_shards(shard_documents(documents, shards=3).collect(), plain_rows, 3)
     assert shard_documents(documents.limit(0)).collect() == []
