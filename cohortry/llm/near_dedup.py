@@ -1,17 +1,18 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 Each document's set of word shingles gets a minwise token for each of many hash
-functions. A tree starts with all documents at its root. At each level some hash
-functions are selected, and a document goes to one child per selected function:
-that of its minwise token. Similar documents share children, others part. A node
-that has become small is compared exhaustively; a node that no longer shrinks is
-dense. Independent trees bring the recall to its target: a pair of similarity
-0.8 shares the children of a level with chance 0.96, so six trees of up to four
-levels miss it with a chance below 0.0001 (and more similar pairs far more rarely).
+functions. A tree starts with all documents at its root. At each level a node
+selects two of the level's own hash functions, and a document goes to one child
+per selected function: that of its minwise token. Similar documents share
+children, others part. A node that has become small is compared exhaustively; a
+node that no longer shrinks is dense. The trees bring the recall to its target: as
+nodes select for themselves, a pair of similarity 0.8 that shares several nodes
+has several chances further down. Six trees miss it with a chance below 0.0001
+at four levels and at all eight (more similar pairs far more rarely).
 
 Equal sets are merged first, so a group of copies is one row whatever its size.
-Candidates whose minwise tokens agree too rarely are set aside (a pair at the
-threshold with a chance of 0.0001); the others are confirmed on full sets.
+Candidates of the trees whose minwise tokens agree too rarely are set aside (a pair
+at the threshold with a chance of 0.0001); the others are confirmed on full sets.
 In a dense node every member is first compared to a few of them. Members that are
 still in another component than the node's largest are then joined exactly with
 all members of other components: similar sets share one of their rarest tokens,
@@ -41,7 +42,6 @@ from cohortry.session import checkpointed
 SHINGLE_WORDS = 5
 PERCENT = 80
 TREES = 6
-BRANCHES = 2
 LEVELS = 8
 TOKENS = 96
 LEAST_AGREE = 62
@@ -115,10 +115,16 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, wor
     return joined.select("cid", "k1", "text").mapInPandas(run, "cid long, shingles array<long>")
 
 
-def _child(key: F.Column, tree: int | F.Column, level: int, branch: int) -> F.Column:
-    """The child a document goes to: its parent and its minwise token for the selected function."""
-    at = (tree * F.lit(8) + F.lit(level * BRANCHES + branch)) % F.lit(TOKENS)
-    return F.xxhash64(key, at, F.get("tokens", at))
+def _children(key: F.Column, level: int) -> F.Column:
+    """The children of a document at a node: the node with its minwise token of each function the node selects.
+
+    Each level has functions of its own, so no path meets one twice.
+    """
+    own = TOKENS // LEVELS
+    first = F.pmod(F.xxhash64(key, F.lit(level)), F.lit(own)).cast("int")
+    step = F.pmod(F.xxhash64(key, F.lit(level), F.lit(1)), F.lit(own - 1)).cast("int") + 1
+    places = [F.lit(level * own) + first, F.lit(level * own) + (first + step) % F.lit(own)]
+    return F.array(*(F.xxhash64(key, at, F.get("tokens", at)) for at in places))
 
 
 def final_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -130,12 +136,9 @@ def final_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     level_rows = classes.select("cid", "tokens").select(
         "cid",
         F.explode(
-            F.array(*(
-                F.struct(F.lit(t).alias("tree"), _child(F.lit(t).cast("bigint"), F.lit(t), 0, b).alias("node"))
-                for t in range(TREES) for b in range(BRANCHES)
-            ))
-        ).alias("x"),
-    ).select("cid", "x.tree", "x.node", F.lit(total).cast("bigint").alias("parent_size"))
+            F.concat(*(_children(F.lit(t).cast("bigint"), 0) for t in range(TREES)))
+        ).alias("node"),
+    ).select("cid", "node", F.lit(total).cast("bigint").alias("parent_size"))
     for level in range(LEVELS):
         rows = checkpointed(level_rows)
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
@@ -151,10 +154,10 @@ def final_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         level_rows = (
             open_rows.join(classes.select("cid", "tokens"), "cid")
             .select(
-                "cid", "tree", F.col("size").alias("parent_size"),
-                F.explode(F.array(*(_child(F.col("node"), F.col("tree"), level + 1, b) for b in range(BRANCHES)))).alias("node"),
+                "cid", F.col("size").alias("parent_size"),
+                F.explode(_children(F.col("node"), level + 1)).alias("node"),
             )
-            .select("cid", "tree", "node", "parent_size")
+            .select("cid", "node", "parent_size")
         )
     return small, dense
 
@@ -222,6 +225,15 @@ def open_pairs(dense: DataFrame, labels: DataFrame, sets: DataFrame, percent: in
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
+def of_like_sizes(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs that sizes allow to be similar; nothing is left to chance."""
+    sizes = classes.select("cid", "n_shingles")
+    one, two = (sizes.select(F.col("cid").alias(x), F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
+    both = pairs.distinct().join(one, "a").join(two, "b")
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    return both.filter(fits).select("a", "b")
+
+
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs that sizes and minwise tokens allow to be similar."""
 
@@ -295,7 +307,7 @@ def near_duplicates(
     edges = checkpointed(confirmed(pairs, sets, percent))
     labels = components(edges)
     if not dense.isEmpty():
-        more = checkpointed(likely(open_pairs(dense, labels, sets, percent), classes, percent))
+        more = checkpointed(of_like_sizes(open_pairs(dense, labels, sets, percent), classes, percent))
         edges = edges.union(confirmed(more, sets, percent))
         labels = components(edges)
     named = classes.select("k1", "k2", "cid", "rep").join(labels, "cid", "left").withColumn(

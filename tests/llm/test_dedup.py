@@ -78,6 +78,23 @@ def test_a_large_group_of_near_copies(spark):
     assert sortable((r.doc_id, r.n_shingles, r.component_id) for r in got) == sortable(brute_components(rows, 4))
 
 
+def test_recall_of_the_trees_at_full_depth(spark, monkeypatch):
+    """Pairs at the threshold, in trees that go down all levels."""
+    import numpy as np
+
+    from cohortry.llm import near_dedup as nd
+
+    monkeypatch.setattr(nd, "SMALL_NODE", 1)
+    monkeypatch.setattr(nd, "DENSE_SHARE", 2.0)
+    draw = np.random.default_rng(4)
+    one = draw.integers(0, 2**31 - 1, (600, nd.TOKENS))
+    two = np.where(draw.random(one.shape) < 0.8, one, draw.integers(0, 2**31 - 1, one.shape))
+    rows = [(2 * i + k, t.tolist()) for i in range(600) for k, t in enumerate((one[i], two[i]))]
+    _, dense = nd.final_nodes(spark.createDataFrame(rows, "cid long, tokens array<int>"))
+    met = dense.selectExpr("cid div 2 as pair", "node", "cid").groupBy("node", "pair").agg({"cid": "count"})
+    assert met.filter("`count(cid)` > 1").select("pair").distinct().count() == 600
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.cid: r.comp for r in components(edges).collect()}
