@@ -94,25 +94,34 @@ def described(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
-    """(cid, shingles) for the classes in ``wanted`` (cid, rep, k1, k2), from the texts that stand for them."""
+    """(cid, shingles), one row for each class in ``wanted`` (cid, rep, k1, k2, again), from the texts that stand for them.
+
+    Rows that repeat an id and its text, and rows without id, give a set more than
+    once; only classes of several rows (``again``) are looked through for that.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            cids, sets = [], []
-            for cid, k1, t in zip(batch["cid"], batch["k1"], batch["text"], strict=True):
+            cids, again, sets = [], [], []
+            for cid, k1, more, t in zip(batch["cid"], batch["k1"], batch["again"], batch["text"], strict=True):
                 found = shingle_set(hashes.of(word_list(t, lower=True)), words)
                 # A repeated id may also name another text.
                 if set_key(found)[0] == k1:
                     cids.append(cid)
+                    again.append(more)
                     sets.append(found.view(np.int64))
             if cids:
-                yield pd.DataFrame({"cid": cids, "shingles": sets})
+                yield pd.DataFrame({"cid": cids, "again": again, "shingles": sets})
 
     texts = docs.select(F.col(doc_id).cast("bigint").alias("rep"), F.col(text).alias("text"))
     # NULL ids may stand for a class, too.
     joined = texts.join(wanted.withColumnRenamed("rep", "_rep"), F.col("rep").eqNullSafe(F.col("_rep")))
-    return joined.select("cid", "k1", "text").mapInPandas(run, "cid long, shingles array<long>")
+    sets = checkpointed(
+        joined.select("cid", "k1", "again", "text").mapInPandas(run, "cid long, again boolean, shingles array<long>")
+    )
+    once = checkpointed(sets.filter("again").dropDuplicates(["cid"]))
+    return sets.filter("NOT again").union(once).select("cid", "shingles")
 
 
 def _children(key: F.Column, level: int) -> F.Column:
@@ -294,16 +303,17 @@ def near_duplicates(
     """doc_id, n_shingles, component_id, kept, text_hash for each row of ``docs``."""
     rows = checkpointed(described(docs, text, doc_id, words))
     grouped = rows.filter(F.col("n_shingles") > 0).groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")
-    )
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"),
+        (F.count(F.lit(1)) > 1).alias("again"),
+    )
     classes = checkpointed(grouped.withColumn("cid", F.monotonically_increasing_id()))
     small, dense = final_nodes(classes)
     dense = checkpointed(dense)
     pairs = checkpointed(likely(small_pairs(small).union(star_pairs(dense)), classes, percent))
 
     ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(dense.select("cid")).distinct()
-    wanted = classes.join(ends, "cid", "left_semi").select("cid", "rep", "k1", "k2")
-    sets = checkpointed(shingle_sets(docs, wanted, text, doc_id, words))
+    wanted = classes.join(ends, "cid", "left_semi").select("cid", "rep", "k1", "k2", "again")
+    sets = shingle_sets(docs, wanted, text, doc_id, words)
     edges = checkpointed(confirmed(pairs, sets, percent))
     labels = components(edges)
     if not dense.isEmpty():

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortry.llm.near_dedup import components, near_duplicates, one_of_each, op7_minhash_near_dedup
 from cohortry.llm.substring_dedup import drop_repeats, op10_substring_dedup
@@ -78,6 +79,20 @@ def test_a_large_group_of_near_copies(spark):
     assert sortable((r.doc_id, r.n_shingles, r.component_id) for r in got) == sortable(brute_components(rows, 4))
 
 
+def test_sets_of_repeated_rows_and_null_ids(spark):
+    """Each class has its set once."""
+    from cohortry.llm import near_dedup as nd
+
+    docs = spark.createDataFrame(
+        [(1, prose(13, 50))] * 3 + [(None, prose(14, 50))] * 2 + [(2, prose(15, 50))], "doc_id long, text string"
+    )
+    classes = nd.described(docs, "text", "doc_id", 4).groupBy("k1", "k2").agg(
+        F.min("doc_id").alias("rep"), (F.count(F.lit(1)) > 1).alias("again")
+    ).withColumn("cid", F.coalesce("rep", F.lit(99)))
+    sets = nd.shingle_sets(docs, classes, "text", "doc_id", 4)
+    assert sorted(r.cid for r in sets.collect()) == [1, 2, 99]
+
+
 def test_recall_of_the_trees_at_full_depth(spark, monkeypatch):
     """Pairs at the threshold, in trees that go down all levels."""
     import numpy as np
