@@ -14,14 +14,15 @@ most they can add to a piece lowers the bound's threshold instead.
 
 What reaches the threshold is verified: enough of the question's word triples and
 of the answer's words (the last sentence, or else the last quarter) must stand in
-the passage and its surroundings.
+the passage and its surroundings. Each passage that reaches the threshold is verified,
+as a better score may stand for scattered words; the best verified one is reported.
 
 The index holds ``BLOCK_ITEMS`` items at most; more items are worked off in blocks
 of that size, each with a pass over the documents, so what goes to the tasks stays
 bounded. Documents are not shuffled.
 
 Defined cases: NULL or empty documents and items match nothing; repeated items
-are reported each, repeated documents too; ties between passages go to the first;
+are reported each, repeated documents too; ties between verified passages go to the first;
 empty tables give no rows; extra columns are not read.
 """
 
@@ -267,7 +268,7 @@ class Search:
         # A document's last block has no second half, unless it is its only one.
         passage[ends] = bound[ends]
         rows, ranges = np.nonzero(passage + index.slack >= self.threshold - 1e-9)
-        best: dict[tuple[int, int], tuple[float, int]] = {}
+        reached: dict[tuple[int, int], dict[int, float]] = {}
         owner = np.searchsorted(first, rows, side="right") - 1
         edges = np.searchsorted(pair_block, np.arange(int(first[-1]) + 1))
         last_row, last_terms = -1, []
@@ -277,19 +278,21 @@ class Search:
                 last_row, last_terms = row, np.unique(pair_term[edges[row] : edges[until]]).tolist()
             low = wide * RANGE_ITEMS
             for piece, score in index.retrieve(last_terms, low, low + RANGE_ITEMS, self.threshold):
-                key = (doc, index.items.pieces[piece][0])
-                if key not in best or score > best[key][0]:
-                    best[key] = (score, (row - int(first[doc])) * HALF)
+                scores = reached.setdefault((doc, index.items.pieces[piece][0]), {})
+                at = (row - int(first[doc])) * HALF
+                scores[at] = max(score, scores.get(at, 0.0))
         found = []
-        for (doc, item), (score, at) in sorted(best.items()):
+        for (doc, item), scores in sorted(reached.items()):
             # As much on both sides as the item is long, as its pieces may lie in several passages.
             more = max(HALF, index.items.sizes[item])
-            around = texts[doc][max(0, at - more) : at + 2 * HALF + more]
             question, answer = index.items.questions[item], index.items.answers[item]
-            q = len(question & triples_in(around, question)) / max(1, len(question))
-            a = len(answer & set(around)) / max(1, len(answer))
-            if q >= QUESTION_SHARE and a >= ANSWER_SHARE:
-                found.append((doc, index.items.item_ids[item], at, score, q, a))
+            for at, score in sorted(scores.items(), key=lambda p: (-p[1], p[0])):
+                around = texts[doc][max(0, at - more) : at + 2 * HALF + more]
+                q = len(question & triples_in(around, question)) / max(1, len(question))
+                a = len(answer & set(around)) / max(1, len(answer))
+                if q >= QUESTION_SHARE and a >= ANSWER_SHARE:
+                    found.append((doc, index.items.item_ids[item], at, score, q, a))
+                    break
         return found
 
 

@@ -163,6 +163,19 @@ def test_batched_search_equals_full_scoring(spark):
     assert got == want and (3, 99) in got
 
 
+def test_an_item_after_its_scrambled_words():
+    import numpy as np
+
+    item = dc.terms_of(prose(301, 40))
+    scrambled = random.Random(2).sample(item, len(item))
+    edited = [w if i != 7 else b"changed" for i, w in enumerate(item)]
+    gap = dc.terms_of(prose(302, 400))
+    items = dc.Items([(1, b" ".join(item).decode())])
+    index = dc.Index(items, np.ones(len(items.vocabulary)), 50)
+    found = dc.Search(index)([scrambled + gap + edited + gap, scrambled + gap])
+    assert [(f[0], f[1]) for f in found] == [(0, 1)] and found[0][2] + 2 * dc.HALF > len(scrambled + gap)
+
+
 def test_leaks_are_found_and_clean_rows_stay(spark, documents):
     item = "What is the capital of the far green land? It is the old town of Veldera."
     benchmark = spark.createDataFrame([(1, item), (2, None), (3, ""), (3, prose(77, 200))], "item_id long, text string")
