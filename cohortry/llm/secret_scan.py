@@ -10,7 +10,10 @@ repositories. Repeats within an owner are merged first, so a value that a third
 of all rows hold reaches the last step as one row per owner. A value of several
 owners is a copied ``example``; a random-looking value of a single owner is
 ``live``; the rest is ``unclear``. A value that is assigned as a secret anywhere
-in the corpus is also found where it stands bare (kind ``copy``).
+in the corpus is also found where it stands bare (kind ``copy``): a run of at least
+six characters of a value, or a part of one between dots. Dots at the end of a
+value do not count, if six characters are left. Only the hashes of the runs are
+kept, and only documents that share one with an assigned value are looked through.
 
 Kinds, in the order used for spans that start together: assign, access, hex
 (the base), bearer, key block, copy. Defined cases: a NULL text counts as empty;
@@ -36,7 +39,12 @@ HEX = r"([0-9a-f]{24,})"
 # Kinds of this method.
 BEARER = r"(?i:bearer)\x20+([A-Za-z0-9+/_.=-]{16,})"
 KEY_BLOCK = r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)"
-BARE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])([A-Za-z0-9+/_=-]{16,}+)"
+BARE = r"(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{6,}+)"
+# A run with dots inside or before it, without those at its end.
+DOTTED = (
+    r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z0-9+/_=-]*+\.++[A-Za-z0-9+/_=-])"
+    r"([A-Za-z0-9+/_.=-]{5,}[A-Za-z0-9+/_=-])(?![A-Za-z0-9+/_=-])"
+)
 
 KINDS = ("assign", "access", "hex", "bearer", "key_block", "copy")
 PATTERNS = {  # kind -> pattern, group of the value
@@ -46,7 +54,9 @@ PATTERNS = {  # kind -> pattern, group of the value
     "bearer": (BEARER, 1),
     "key_block": (KEY_BLOCK, 1),
     "copy": (BARE, 1),
+    "dotted": (DOTTED, 1),  # reported as copy
 }
+BARE_KINDS = ("copy", "dotted")
 BASE = KINDS[:3]
 LEAST_VALUE = {"assign": 6}
 EXAMPLE_OWNERS = 3
@@ -69,6 +79,12 @@ def found(text: Column, kind: str) -> Column:
     return F.when(text.rlike(pattern), zipped).otherwise(none)
 
 
+def value_key(value: Column) -> Column:
+    """The hash that names a value, without the dots at its end."""
+    plain = F.rtrim(value, F.lit("."))
+    return F.xxhash64(F.when(F.char_length(plain) >= LEAST_VALUE["assign"], plain).otherwise(value))
+
+
 def entropy_bits(value: Column) -> Column:
     """Bits per character of the characters' frequencies in a value."""
     size = F.char_length(value).cast("double")
@@ -88,9 +104,17 @@ def candidate_spans(docs: DataFrame, text: str, doc_id: str, owner: str, reposit
             F.col(doc_id).alias("doc_id"),
             F.col(owner).cast("string").alias("owner"),
             F.col(repository).cast("string").alias("repository"),
-            *(found(body, k).alias(k) for k in KINDS),
+            *(found(body, k).alias(k) for k in KINDS if k not in BARE_KINDS),
+            *(
+                F.transform(
+                    found(body, k),
+                    lambda x: F.struct(x["gap"].alias("gap"), x["len"].alias("len"), value_key(x["value"]).alias("key")),
+                ).alias(k)
+                for k in BARE_KINDS
+            ),
         )
     )
+
     def numbered(n: int, kind: str) -> Column:
         return F.transform(
             F.col(kind),
@@ -100,28 +124,64 @@ def candidate_spans(docs: DataFrame, text: str, doc_id: str, owner: str, reposit
             ),
         )
 
-    one_kind = [numbered(n, k) for n, k in enumerate(KINDS)]
+    places = ["uid", "owner", "repository"]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        upto = Window.partitionBy("uid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(upto)).withColumn(
+            "start", F.col("end") - F.col("len")
+        )
+
+    plain = [k for k in KINDS if k not in BARE_KINDS]
     rows = (
-        scanned.filter(F.greatest(*(F.size(k) for k in KINDS)) > 0)
-        .select("uid", "owner", "repository", F.explode(F.concat(*one_kind)).alias("c"))
-        .select("uid", "owner", "repository", "c.*")
+        scanned.filter(F.greatest(*(F.size(k) for k in plain)) > 0)
+        .select(*places, F.explode(F.concat(*(numbered(n, k) for n, k in enumerate(plain)))).alias("c"))
+        .select(*places, "c.*")
         .repartition("uid")
     )
-    upto = Window.partitionBy("uid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.col("len")).over(upto)
     least = F.when(F.col("kind") == KINDS.index("assign"), LEAST_VALUE["assign"]).otherwise(0)
-    spans = (
-        rows.withColumn("end", end)
-        .withColumn("start", F.col("end") - F.col("len"))
+    spans = checkpointed(
+        placed(rows)
         .filter(F.char_length("value") >= least)
-        .select("uid", "owner", "repository", "kind", "start", "end", "value", F.xxhash64("value").alias("key"))
+        .select(*places, "kind", "start", "end", "value", value_key(F.col("value")).alias("key"))
     )
-    return scanned.select("uid", "doc_id"), spans
+
+    # Bare runs: hashes first, then places in the documents that hold an assigned value.
+    assigned = spans.select("key").distinct()
+    keys = F.array_distinct(F.concat(*(F.transform(k, lambda x: x["key"]) for k in BARE_KINDS)))
+    hits = checkpointed(scanned.select("uid", F.explode(keys).alias("key")).join(assigned, "key", "left_semi"))
+    held = scanned.join(hits.select("uid").distinct(), "uid", "left_semi")
+
+    def run(n: int, kind: str) -> Column:
+        return F.transform(
+            F.col(kind),
+            lambda x, i: F.struct(
+                F.lit(n).alias("kind"), i.alias("i"), x["gap"].alias("gap"), x["len"].alias("len"), x["key"].alias("key")
+            ),
+        )
+
+    first = KINDS.index("copy")
+    runs = held.select(*places, F.explode(F.concat(*(run(first + n, k) for n, k in enumerate(BARE_KINDS)))).alias("c"))
+    copies = placed(runs.select(*places, "c.*")).join(hits, ["uid", "key"], "left_semi")
+    copies = copies.select(*places, "kind", "start", "end", F.lit(None).cast("string").alias("value"), "key")
+    return scanned.select("uid", "doc_id"), spans.union(one_of_each_place(copies))
+
+
+def one_of_each_place(copies: DataFrame) -> DataFrame:
+    """Copies of both sorts as kind ``copy``; a part of a run with dots that is a copy itself is left out."""
+    copy = KINDS.index("copy")
+    dotted = F.col("kind") > copy
+    before = Window.partitionBy("uid").orderBy("start", F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = F.max(F.when(dotted, F.col("end"))).over(before)
+    marked = copies.withColumn("inside", inside)
+    left = marked.filter(dotted | F.col("inside").isNull() | (F.col("inside") < F.col("end")))
+    return left.withColumn("kind", F.lit(copy)).drop("inside")
 
 
 def ownership(spans: DataFrame) -> DataFrame:
     """Per value hash: distinct owners and repositories, whether it is assigned, and its class."""
     assigned = F.max((F.col("kind") != KINDS.index("copy")).cast("int"))
+    # Copies carry no value of their own; an assigned one of the key stands for it.
     per_place = spans.groupBy("key", "owner", "repository").agg(
         assigned.alias("assigned"), F.count(F.lit(1)).alias("n"), F.max("value").alias("value")
     )

@@ -66,6 +66,21 @@ def test_secret_edges_and_ownership(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_short_and_dotted_values_are_found_bare(spark):
+    rows = [
+        (1, "password=hunter2. token: letmein", "a"), (2, "it was hunter2, then letmein.", "b"),
+        (3, "secret=eyJhbGci.eyJzdWIi.c2ln", "c"), (4, "see eyJhbGci.eyJzdWIi.c2ln. and more", "d"),
+        (5, "nothing assigned hunter here", "e"), (6, "letmein twice: letmein", "c"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in scan_secrets(docs).collect()}
+    assert got[2].spans == "copy:7:14,copy:21:28"
+    assert got[4].spans == "copy:4:26"
+    assert got[5].spans == ""
+    assert got[6].spans == "copy:0:7,copy:15:22" and got[6].n_example == 2
+    assert got[1].n_copy == 0 and got[3].n_copy == 0
+
+
 def shingles(text):
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", text or "") if x]
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
