@@ -16,7 +16,10 @@ makes them use names. Training uses at most ``SAMPLE`` pages, drawn by a hash of
 
 Defined cases: a NULL or empty page has the empty text; a page cut off anywhere
 is read as far as it goes, an unfinished tag at its end is dropped; repeated rows
-are extracted alike; with no page to learn from, names alone decide; an empty
+are extracted alike; text in controls, drawings and templates is dropped, an
+unclosed one ends with its parent, at a block's start or at its next like, and
+counts for nothing if no end tag follows at all; formulas and the fallback text of
+objects are elements as others; with no page to learn from, names alone decide; an empty
 table gives no rows; only the named columns are read.
 """
 
@@ -45,7 +48,10 @@ PAGES_AT_ONCE = 500
 
 # Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math canvas object select button".split())
+RAW = frozenset("script style noscript iframe textarea title".split())
+# Elements whose text is no text of the page; the first hold no blocks, so a block's start ends them.
+OFF_INLINE = frozenset("button select svg".split())
+OFF = OFF_INLINE | {"template"}
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr img".split()
@@ -90,6 +96,7 @@ class Page:
 
     def __init__(self, html: str) -> None:
         self.tag, self.parent, self.depth, self.away, self.main = ["#page"], [-1], [0], [False], [False]
+        self.off = [False]
         self.pieces: list[tuple[int, str]] = []  # an empty piece is a block border
         self._read(html)
 
@@ -104,7 +111,8 @@ class Page:
         self.tag.append(tag)
         self.parent.append(above)
         self.depth.append(self.depth[above] + 1)
-        self.away.append(tag in AWAY_TAGS or page_header or not names.isdisjoint(AWAY_NAMES))
+        self.off.append(self.off[above] or tag in OFF)
+        self.away.append(tag in AWAY_TAGS or tag in OFF or page_header or not names.isdisjoint(AWAY_NAMES))
         self.main.append(tag in MAIN_TAGS or (tag != "body" and not names.isdisjoint(MAIN_NAMES)))
         return len(self.tag) - 1
 
@@ -117,11 +125,13 @@ class Page:
 
     def _read(self, html: str) -> None:
         at, here = 0, 0
-        pieces, tags, parent = self.pieces, self.tag, self.parent
+        pieces, tags, parent, off = self.pieces, self.tag, self.parent, self.off
+        last_end: dict[str, int] = {}
         while found := TOKEN.match(html, at):
             at = found.end()
             if (text := found["text"]) is not None:
-                pieces.append((here, text))
+                if not off[here]:
+                    pieces.append((here, text))
                 continue
             tag = found["tag"]
             if tag is None:
@@ -143,6 +153,18 @@ class Page:
                     end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
                     at = end.end() if end else len(html)
                 continue
+            if off[here] and (tag in CLOSES_P or tag in OFF_INLINE):
+                up = here
+                while up and tags[up] not in OFF_INLINE and tags[up] not in ("foreignobject", "template"):
+                    up = parent[up]
+                # Drawings may hold drawings; controls do not hold their like.
+                if tags[up] in OFF_INLINE and (tag in CLOSES_P or (tag == tags[up] and tag != "svg")):
+                    here = parent[up]
+            if tag in OFF:
+                if tag not in last_end:
+                    last_end[tag] = max((m.start() for m in re.finditer(rf"</{tag}\b", html, re.I)), default=-1)
+                if last_end[tag] < at or found["attrs"].endswith("/"):
+                    continue
             if tag not in INLINE:
                 pieces.append((here, ""))
             if tag in VOID:

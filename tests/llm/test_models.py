@@ -31,6 +31,20 @@ def test_extraction_of_a_page(trees):
         assert page.text(page.decode(trees.chance(page.features()))) == TEXT
 
 
+def test_unclosed_controls_in_an_article():
+    def text(body):
+        page = html_text.Page(f"<html><body><article>{body}</article></body></html>")
+        return page.text([True] * len(page.tag))
+
+    assert text("<p>One <button>Go<p>Two</p><p>Three</p>") == "One Go Two Three"
+    assert text("<p>One <button>Go<p>Two</p><button>Stop</button><p>Three</p>") == "One Two Three"
+    assert text("<p>One <button>Go</button> two</p><template><p>no</p></template><p>Three</p>") == "One two Three"
+    assert text("<p>A <math>x</math> b <object>film</object> <select><option>no</select>c</p><svg><text>no</text></svg>d") == (
+        "A x b film c d"
+    )
+    assert text("<object><p>One</p><p>Two</p>") == "One Two"
+
+
 def test_no_element_is_kept_below_a_dropped_one():
     draw = random.Random(3)
     import numpy as np
