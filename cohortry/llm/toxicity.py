@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick after folding.
 
 Texts are lower-cased; look-alike letters and digits that stand for letters are
-folded, invisible characters dropped. Lexicon entries are words or beginnings of
+folded, invisible characters dropped. A 1 may stand for an i or an l: text with ones
+is matched in both readings, letter by letter. Lexicon entries are words or beginnings of
 words with a weight: the log odds of documents with the entry among toxic and
 other training documents. A hit must start at the start of a word (and end with
 it, if the entry is a word); a word counts once, with its best entry; hits within
@@ -23,7 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -48,7 +49,7 @@ LOOK_ALIKES = {
     "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ϲ": "c",
     "ı": "i", "ɑ": "a", "ɡ": "g", "ⅼ": "l", "ⅰ": "i", "ⅾ": "d", "ⅽ": "c",
 }
-DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g"}
+DIGITS = {"0": "o", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g"}
 SIGNS = {"@": "a", "$": "s"}
 INVISIBLE = "­​‌‍⁠﻿"
 
@@ -61,8 +62,18 @@ WORD = re.compile(r"[^\W_]+")
 EXCEPTIONS: tuple[str, ...] = ("trash can", "trash bin", "idiot proof", "clown fish")
 
 
+def one_reading(folded: str) -> str:
+    """Ones as i, as words are learned."""
+    return folded.replace("1", "i")
+
+
+def any_reading(folded: str) -> str:
+    """i, l and 1 as one symbol."""
+    return folded.replace("1", "i").replace("l", "i")
+
+
 def fold(text: str | None) -> str:
-    """Lower case, look-alikes and digits as letters, invisible characters gone."""
+    """Lower case, look-alikes and digits but 1 as letters, invisible characters gone."""
     if not text:
         return ""
     if "$" in text or "@" in text:
@@ -74,41 +85,61 @@ class Lexicon:
     """An automaton over entries and exception phrases, built once per task."""
 
     def __init__(self, entries: Sequence[tuple[str, bool, float]], exceptions: Sequence[str] = EXCEPTIONS) -> None:
-        self.machine = ahocorasick.Automaton()
+        self.machine = self._machine(entries, exceptions, one_reading)
+        # For places with a 1 only, so that i and l stay apart elsewhere.
+        self.loose = self._machine(entries, exceptions, any_reading)
+
+    @staticmethod
+    def _machine(
+        entries: Sequence[tuple[str, bool, float]], exceptions: Sequence[str], reading: Callable[[str], str]
+    ) -> ahocorasick.Automaton | None:
+        machine = ahocorasick.Automaton()
         known: dict[str, list] = {}
         for term, is_word, weight in entries:
-            slot = known.setdefault(term, [len(term), 0.0, 0.0, False])
+            slot = known.setdefault(reading(term), [len(term), 0.0, 0.0, False])
             slot[1 + is_word] = max(slot[1 + is_word], weight)
         for phrase in exceptions:
-            known.setdefault(fold(phrase), [len(fold(phrase)), 0.0, 0.0, False])[3] = True
+            known.setdefault(reading(fold(phrase)), [len(fold(phrase)), 0.0, 0.0, False])[3] = True
         for term, slot in known.items():
-            self.machine.add_word(term, tuple(slot))
-        self.empty = not known
-        if known:
-            self.machine.make_automaton()
+            machine.add_word(term, tuple(slot))
+        if not known:
+            return None
+        machine.make_automaton()
+        return machine
 
     def hits(self, folded: str) -> float:
         """Sum of weights of the words hit in a folded text."""
-        if self.empty:
+        if self.machine is None:
             return 0.0
         best: dict[int, float] = {}
         shielded: list[tuple[int, int]] = []
-        size = len(folded)
-        for last, (length, prefix, word, exception) in self.machine.iter(folded):
+        self._collect(self.machine, one_reading(folded), None, best, shielded)
+        if "1" in folded:
+            self._collect(self.loose, any_reading(folded), folded, best, shielded)
+        if shielded:
+            for start in list(best):
+                if any(a <= start <= b for a, b in shielded):
+                    del best[start]
+        return sum(best.values())
+
+    @staticmethod
+    def _collect(
+        machine: ahocorasick.Automaton, text: str, ones: str | None, best: dict[int, float], shielded: list[tuple[int, int]]
+    ) -> None:
+        """Hits of a reading; with ``ones``, only those that hold a 1 there."""
+        size = len(text)
+        for last, (length, prefix, word, exception) in machine.iter(text):
             start = last - length + 1
-            if start and folded[start - 1].isalnum():
+            if start and text[start - 1].isalnum():
                 continue
-            ends = last + 1 == size or not folded[last + 1].isalnum()
+            if ones is not None and "1" not in ones[start : last + 1]:
+                continue
+            ends = last + 1 == size or not text[last + 1].isalnum()
             if exception and ends:
                 shielded.append((start, last))
             weight = max(prefix, word if ends else 0.0)
             if weight > best.get(start, 0.0):
                 best[start] = weight
-        if shielded:
-            for start in list(best):
-                if any(a <= start <= b for a, b in shielded):
-                    del best[start]
-        return sum(best.values())
 
 
 def features(text: str | None, lexicon: Lexicon) -> tuple[float, float]:
@@ -163,7 +194,7 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, bool, float]]:
 
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                seen.update((t, w, int(toxic)) for t, w in entries_of(fold(text)))
+                seen.update((t, w, int(toxic)) for t, w in entries_of(one_reading(fold(text))))
                 if len(seen) > FLUSH:
                     yield flushed()
         if seen:

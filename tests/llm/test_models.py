@@ -117,6 +117,17 @@ def test_folding_and_exceptions():
     assert toxicity.Lexicon([], ()).hits("idiot") == 0.0
 
 
+def test_ones_stand_for_i_and_l():
+    lexicon = toxicity.Lexicon([("loser", True, 3.0), ("clown", True, 2.0), ("villain", True, 1.0), ("zig", True, 4.0)],
+                               exceptions=("clown fish",))
+    hits = lambda text: lexicon.hits(toxicity.fold(text))
+    assert hits("1oser") == hits("L0SER") == 3.0 and hits("c1own") == 2.0
+    assert hits("v1lla1n") == hits("vi11a1n") == 1.0
+    assert hits("ioser ciown") == 0.0
+    assert hits("a c1own fish") == 0.0
+    assert hits("216") == 4.0
+
+
 def test_toxicity_finds_planted_words(spark, documents):
     rows = [(i, prose(i, 80) + (" you scumbag clown" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
