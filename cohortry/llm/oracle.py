@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from cohortry.llm.chat_format import CONTROLS, ESCAPE, LEARNED, MARKS, PROBE
 from cohortry.llm.mixing import HASH_DIGITS, KEEP_SHARE, LAYOUTS, MARGINS, ROUNDS, TEMPER
 from cohortry.llm.near_dedup import PERCENT
+from cohortry.llm.resampling import BUCKETS, DRAWN_PERCENT, GAIN_UNITS, LEAST_WORDS, SEED
 from cohortry.llm.substring_dedup import WINDOW
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -100,8 +102,61 @@ def _substring_dedup(window: int) -> str:
     FROM w LEFT JOIN kept k USING (doc_id)"""
 
 
+def _resampling() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    # The polynomial and the mask of crc32.
+    return rf"""
+    WITH crc AS (SELECT list(list_reduce(range(0, 8),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) ORDER BY i) AS tab
+        FROM (SELECT unnest(range(0, 256)) AS i)),
+    w AS (SELECT doc_id, {words} AS f FROM documents),
+    dw AS (SELECT doc_id, unnest(f) AS word FROM w),
+    bw AS (SELECT unnest({words}) AS word FROM benchmark),
+    vocab AS (SELECT word, xor(list_reduce(list_transform(range(0, octet_length(encode(word))),
+            lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT)),
+            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % {BUCKETS} AS bucket
+        FROM (SELECT word FROM dw UNION SELECT word FROM bw), crc),
+    given AS (SELECT bucket, count(*) AS n FROM dw JOIN vocab USING (word) GROUP BY 1),
+    wanted AS (SELECT bucket, count(*) AS n FROM bw JOIN vocab USING (word) GROUP BY 1),
+    gain AS (SELECT bucket, CAST(floor({GAIN_UNITS} * ln(
+            (coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM given) + {BUCKETS})::DOUBLE
+            / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM wanted) + {BUCKETS})::DOUBLE))) AS BIGINT) AS g
+        FROM (SELECT DISTINCT bucket FROM vocab) LEFT JOIN given s USING (bucket) LEFT JOIN wanted t USING (bucket)),
+    sums AS (SELECT doc_id, count(*) AS n, sum(g) AS g FROM dw JOIN vocab USING (word) JOIN gain USING (bucket) GROUP BY 1),
+    weights AS (SELECT w.doc_id, coalesce(n, 0) AS n_features,
+            CAST(coalesce(floor(g::DOUBLE / n), 0) AS BIGINT) AS weight FROM w LEFT JOIN sums USING (doc_id)),
+    scores AS (SELECT *, weight + CAST(floor(-{GAIN_UNITS} * ln(-ln((CAST('0x' ||
+            substr(sha256('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5)::DOUBLE / 4294967296.0::DOUBLE)))
+            AS BIGINT) AS score FROM weights),
+    able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scores
+        WHERE n_features >= {LEAST_WORDS})
+    SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN place <=
+        (SELECT {DRAWN_PERCENT} * count(*) // 100 FROM able) THEN place END AS rank
+    FROM scores LEFT JOIN able USING (doc_id)"""
+
+
+def _chat_formatting() -> str:
+    """Lengths follow from the template: its control strings, and one sign for each one escaped."""
+    found = "|".join(f"{c[0]}{ESCAPE}*{c[1:]}".replace("[", r"\[").replace("]", r"\]") for c in CONTROLS)
+    marked = " ".join(f"WHEN '{r}' THEN {len(a) + len(b)}" for r, (a, b) in MARKS.items())
+    other = sum(len(c) for c in CONTROLS[-3:])
+    grown = lambda column: f"length({column}) + len(regexp_extract_all({column}, '{found}'))"
+    return rf"""
+    WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+        UNION ALL VALUES (-7, 0, 'user', '{PROBE}'), (-7, 1, 'assistant', '{PROBE}')),
+    sized AS (SELECT *, {grown("body")} + CASE role {marked} ELSE {other} + {grown("role")} END AS size FROM rows)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn)) AS turns_sha256,
+        CAST(coalesce(sum(length(body)) FILTER (role = '{LEARNED}'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(body, '' ORDER BY turn) FILTER (role = '{LEARNED}'), '')) AS loss_sha256,
+        CAST(sum(size) AS BIGINT) AS formatted_chars
+    FROM sized GROUP BY conv_id"""
+
+
 ORACLE: dict[str, str] = {
     "op6_mixing": _mixing(),
     "op7_minhash_near_dedup": _near_dedup(4),
     "op10_substring_dedup": _substring_dedup(WINDOW),
+    "op12_importance_resampling": _resampling(),
+    "op13_chat_formatting": _chat_formatting(),
 }
