@@ -1,46 +1,26 @@
 """Repeatable stand-ins for random draws, computed from row keys.
 
 ``rand`` depends on how rows are spread over partitions and changes on a
-retried task; these depend on the key alone. Only 64-bit integer arithmetic
-is used and no step leaves the bigint range, whatever the size of the key.
+retried task; these depend on the key alone. The digits of an MD5 digest serve as
+the hash: every engine has it, it names its input once (an expression that repeats
+its input grows with every step), and a salt before the key gives a draw of its own.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A full-period linear congruential step modulo 2^31, and the
-# multiplier and shift of the closing mix.
 MODULUS = 2147483648
-MULTIPLIER = 1103515245
-INCREMENT = 12345
-MIX_MULTIPLIER = 73244475
-MIX_SHIFT = 16
-MIX_ROUNDS = 2
+DIGITS = 8
 
 
 def key_hash(*columns: str, salt: int = 0) -> Column:
-    """Integer hash in [0, 2^31) of one or several integer key columns.
-
-    The upper and the lower 31 bits of a key go in one after the other, so
-    keys that differ only far up do not all fall on one value. The salt goes in
-    last, through multiplications and shifts of the whole state: the steps
-    before are linear, and two salts would else differ by one constant.
-    """
-
-    def step(state: Column, part: Column) -> Column:
-        return ((state + F.pmod(part, F.lit(MODULUS))) * MULTIPLIER + INCREMENT) % MODULUS
-
-    keys = [F.col(c).cast("bigint") for c in columns]
-    parts = [part for key in keys for part in (F.shiftright(key, 31), key)]
-    state = reduce(step, parts, F.lit(0).cast("bigint"))
-    state = state.bitwiseXOR(F.lit((salt * 40503 * 65537 + salt) % MODULUS).cast("bigint"))
-    for _ in range(MIX_ROUNDS):
-        state = (state.bitwiseXOR(F.shiftright(state, MIX_SHIFT)) * MIX_MULTIPLIER) % MODULUS
-    return state.bitwiseXOR(F.shiftright(state, MIX_SHIFT))
+    """Integer hash in [0, 2^31) of one or several integer key columns; NULL if one of them is."""
+    keys = [F.col(c).cast("bigint").cast("string") for c in columns]
+    text = F.concat(F.lit(str(salt)), *[part for key in keys for part in (F.lit(":"), key)])
+    digits = F.substring(F.md5(text.cast("binary")), 1, DIGITS)
+    return F.conv(digits, 16, 10).cast("bigint").bitwiseAND(F.lit(MODULUS - 1))
 
 
 def key_uniform(*columns: str, salt: int = 0) -> Column:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from cohortry.models.native import register_score
+
 LOG_SCHEMA = (
     "seq bigint, event string, name string, version string, path string, "
     "signature array<struct<feature: string, type: string>>, "
@@ -155,6 +157,16 @@ class ModelRegistry:
     def load(self, name: str, version: str | None = None) -> PipelineModel:
         return PipelineModel.load(self._entry(name, version)["path"])
 
+    def register_function(self, function: str, name: str, version: str | None = None, replace: bool = True) -> None:
+        """Make a version, or the default one, a native SQL function of its features.
+
+        ``SELECT function(feature, ...)`` then gives the score. The function keeps the
+        version it was made from; register it again to follow a new default.
+        """
+        entry = self._entry(name, version)
+        signature = [(f["feature"], f["type"]) for f in entry["signature"]]
+        register_score(self.spark, function, entry["path"], signature, replace)
+
     def score(self, df: DataFrame, name: str, version: str | None = None) -> DataFrame:
         """Add ``score`` and ``prediction`` to all rows, checked by signature."""
         from cohortry.models.training import with_probability

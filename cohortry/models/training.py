@@ -6,10 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
+)
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import DenseVector
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.models.metrics import holdout_metrics
@@ -77,6 +81,18 @@ def boosted(
     )
 
 
+def given_logistic(
+    spark: SparkSession, features: Sequence[str], coefficients: Sequence[float], intercept: float
+) -> PipelineModel:
+    """A logistic model whose numbers come from elsewhere, as a pipeline that can be saved and registered."""
+    context = spark.sparkContext
+    made = context._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        "given_logistic", _py2java(context, DenseVector(coefficients)), float(intercept)
+    )
+    model = LogisticRegressionModel(made)
+    return PipelineModel([_assembled(features), model])
+
+
 def with_probability(scored: DataFrame, name: str = "score") -> DataFrame:
     """The probability of the positive class as a plain double."""
     return scored.withColumn(name, vector_to_array("probability")[1])

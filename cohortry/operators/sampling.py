@@ -1,8 +1,9 @@
 """Repeatable sampling: rows in the order of a hash of their key.
 
 A plain ``orderBy(hash).limit(n)`` sends up to n rows of every map task to one
-task. Here a histogram of the hash finds the place of the n-th row first; the
-sample is then a filter and stays distributed.
+task. Here a histogram of the hash finds the bucket of the n-th row first; the few
+rows of that bucket are written apart, and give the place of the n-th row. The
+sample is then a filter and stays distributed. Both looks read the key columns only.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from pyspark.sql.window import Window
 
 from cohortry.functions.hashing import key_hash
 from cohortry.operators.ranking import null_safe_join
+from cohortry.session import checkpointed
 
 HASH, BUCKET, FINE = "_hash", "_bucket", "_fine"
 HASH_BITS, BUCKET_BITS = 31, 16
+NEED, NEED_BITS = "_need", 46
 
 
 def _place(key: Sequence[str]) -> Column:
@@ -36,48 +39,41 @@ def cut_points(
     which nothing is to be taken have no row in the result.
     """
     by = list(by)
-    low_bits = HASH_BITS - BUCKET_BITS
-    slim = hashed.select(
-        *by, *[k for k in key if k not in by], HASH,
-        F.shiftright(HASH, low_bits).alias(BUCKET),
-        F.col(HASH).bitwiseAND(F.lit(2**low_bits - 1)).alias(FINE),
-    )
-    # At most 2^16 rows per group from here to the cut.
-    per_group = Window.partitionBy(*by)
-    up_to = per_group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    histogram = (
-        slim.groupBy(*by, BUCKET)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_up_to", F.sum("_n").over(up_to))
-        .withColumn("_goal", take(F.sum("_n").over(per_group)).cast("bigint"))
-    )
-    edge = _reached(histogram, by, BUCKET)
-    inside = null_safe_join(slim, edge, [*by, BUCKET])
-    # The edge bucket is counted once more by the other half of the hash.
-    fine_up_to = per_group.orderBy(FINE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fine = (
-        inside.groupBy(*by, FINE)
-        .agg(F.count(F.lit(1)).alias("_n"), F.first("_need").alias("_goal"))
-        .withColumn("_up_to", F.sum("_n").over(fine_up_to))
-    )
-    last = null_safe_join(inside.drop("_need"), _reached(fine, by, FINE), [*by, FINE])
+    slim = hashed.select(*by, *[k for k in key if k not in by], HASH)
+    bucket = F.shiftright(HASH, HASH_BITS - BUCKET_BITS)
+    fine = F.col(HASH).bitwiseAND(F.lit(2 ** (HASH_BITS - BUCKET_BITS) - 1))
+    # At most 2^16 rows per group from here to the cut, and one per group at its end.
+    counts = slim.groupBy(*by, bucket.alias(BUCKET)).agg(F.count(F.lit(1)).alias("_n"))
+    edge = checkpointed(_reached(counts, by, BUCKET, take))
+    # Rows of one bucket in 2^16; the other half of the hash counts them once more.
+    inside = checkpointed(null_safe_join(slim.withColumns({BUCKET: bucket, FINE: fine}), edge, [*by, BUCKET]))
+    counts = inside.groupBy(*by, FINE).agg(F.count(F.lit(1)).alias("_n"), F.max(NEED).alias("_goal"))
+    last = null_safe_join(inside.drop(NEED), _reached(counts, by, FINE), [*by, FINE])
     # Only rows that share the whole hash with the cut are ranked.
     rank = F.row_number().over(Window.partitionBy(*by, FINE).orderBy(_place(key)))
-    return (
-        last.withColumn("_rank", rank)
-        .filter(F.col("_rank") == F.col("_need"))
-        .select(*by, _place(key).alias("_cut"))
-    )
+    return last.withColumn("_rank", rank).filter(F.col("_rank") == F.col(NEED)).select(*by, _place(key).alias("_cut"))
 
 
-def _reached(histogram: DataFrame, by: list[str], bucket: str) -> DataFrame:
-    """The first bucket that reaches the goal, and how many of its rows are needed."""
-    need = F.col("_goal") - F.col("_up_to") + F.col("_n")
-    reached = histogram.filter((F.col("_goal") > 0) & (F.col("_up_to") >= F.col("_goal")))
-    return (
-        reached.groupBy(*by)
-        .agg(F.min(F.struct(bucket, need.alias("_need"))).alias("_edge"))
-        .select(*by, f"_edge.{bucket}", "_edge._need")
+def _reached(
+    counts: DataFrame, by: list[str], bucket: str, take: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """The first bucket that reaches the goal, and how many of its rows are needed.
+
+    The goal is in ``counts``, or ``take`` of the group's size. Bucket and need are
+    packed into one integer, whose smallest value needs no sort.
+    """
+    per_group = Window.partitionBy(*by)
+    up_to = per_group.orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counts.withColumn("_up_to", F.sum("_n").over(up_to))
+    if take is not None:
+        running = running.withColumn("_goal", take(F.sum("_n").over(per_group)).cast("bigint"))
+    packed = F.shiftleft(F.col(bucket).cast("bigint"), NEED_BITS) + F.col("_goal") - F.col("_up_to") + F.col("_n")
+    reached = running.filter((F.col("_goal") > 0) & (F.col("_up_to") >= F.col("_goal")))
+    first = reached.groupBy(*by).agg(F.min(packed).alias("_edge"))
+    return first.filter(F.col("_edge").isNotNull()).select(
+        *by,
+        F.shiftright("_edge", NEED_BITS).cast(counts.schema[bucket].dataType).alias(bucket),
+        F.col("_edge").bitwiseAND(F.lit(2**NEED_BITS - 1)).alias(NEED),
     )
 
 

@@ -16,12 +16,13 @@ from cohortry.functions import hashing as h
 from cohortry.functions import ladders, scalars
 from cohortry.functions.scalars import exact_round, percent_share
 from cohortry.functions.scoring import confidence, register_confidence
-from cohortry.models import training
+from cohortry.models import native, training
 from cohortry.models.metrics import auc_by_rank, confusion_rates
 from cohortry.models.registry import ModelRegistry, signature_of
 from cohortry.operators import grouping as g
 from cohortry.operators import ranking, relational, sampling
 from cohortry.operators import text as tx
+from cohortry.operators.relational import with_panel
 from cohortry.plans import workloads as w
 from cohortry.semantic.model import cohort_model
 from cohortry.semantic.query import SemanticQuery
@@ -634,12 +635,18 @@ def gbt_scores(c: Cohort) -> DataFrame:
 
 
 def _registry_with_model(c: Cohort) -> ModelRegistry:
+    """A registry that holds the given model; its AUC is that of all passing calls."""
     registry = ModelRegistry(c.spark, shared_folder(c.spark, "registry"))
-    trained = _fit(c, training.logistic(w.FEATURES, LABEL))
-    signature = signature_of(trained.holdout, w.FEATURES)
-    registry.register(
-        "calls_clf", "V1", trained.model, signature, trained.metrics, "logistic regression"
+    model = training.given_logistic(c.spark, w.FEATURES, w.GIVEN_COEFFICIENTS, w.GIVEN_INTERCEPT)
+    calls = with_panel(relational.passing_calls(c.calls, c.ladder), c.panel)
+    labelled = calls.withColumn(
+        LABEL, (relational.clinical_significance(c, calls) == "Pathogenic").cast("bigint")
     )
+    signature = signature_of(labelled, w.FEATURES)
+    # Rounded, so that equal scores stay equal in every engine.
+    judged = training.with_probability(model.transform(labelled)).withColumn("score", exact_round(F.col("score"), 9))
+    auc = auc_by_rank(judged, "score", LABEL).first()[0]
+    registry.register("calls_clf", "V1", model, signature, {"roc_auc": auc}, "logistic regression")
     return registry
 
 
@@ -662,20 +669,24 @@ def model_versions(c: Cohort) -> DataFrame:
 
 @query
 def model_score(c: Cohort) -> DataFrame:
-    """All passing calls scored by name and version."""
-    registry = _registry_with_model(c)
-    calls = relational.passing_calls(c.calls, c.ladder)
-    return registry.score(calls.select(*c.call_key, *w.FEATURES), "calls_clf", "V1")
+    """All passing calls scored from SQL text by the name of a registered version."""
+    _registry_with_model(c).register_function("calls_clf_v1", "calls_clf", "V1")
+    relational.passing_calls(c.calls, c.ladder).createOrReplaceTempView("calls_to_score")
+    features = ", ".join(w.FEATURES)
+    scored = c.spark.sql(
+        f"SELECT {', '.join(c.call_key)}, {features}, calls_clf_v1({features}) AS score FROM calls_to_score"
+    )
+    flagged = scored.withColumn("prediction", (F.col("score") > 0.5).cast("bigint"))
+    return flagged.withColumn("score", exact_round(F.col("score"), 6))
 
 
 @query
 def model_flag_rate(c: Cohort) -> DataFrame:
     """Share of a sample of passing calls that the default model flags."""
-    registry = _registry_with_model(c)
+    _registry_with_model(c).register_function("calls_clf_default", "calls_clf")
     drawn = sampling.sample_rows(c.calls, 20_000, c.call_key, c.call_order, salt=w.FLAG_SALT)
     calls = relational.passing_calls(drawn, c.ladder)
-    scored = registry.score(calls.select(*w.FEATURES), "calls_clf")
-    return scored.agg(
+    return native.scored(calls.select(*w.FEATURES), "calls_clf_default", w.FEATURES).agg(
         F.count(F.lit(1)).alias("scored"),
         percent_share(F.sum("prediction"), F.count(F.lit(1)), 1).alias("pct_flagged"),
     )

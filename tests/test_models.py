@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,3 +119,39 @@ def test_registry_life_cycle(spark, cohort, frame, trained):
         registry.score(calls.drop("vaf"), "clf")
     with pytest.raises(SignatureError):
         registry.score(calls.withColumn("vaf", F.col("vaf").cast("string")), "clf")
+
+
+@pytest.mark.parametrize("kind", ["logistic", "forest", "boosted", "given"])
+def test_native_function_scores_like_the_pipeline(spark, cohort, frame, kind):
+    made = {
+        "logistic": lambda: training.logistic(w.FEATURES, LABEL),
+        "forest": lambda: training.forest(w.FEATURES, LABEL, trees=7, depth=6, min_rows=5),
+        "boosted": lambda: training.boosted(w.FEATURES, LABEL, rounds=5, depth=4, min_rows=5),
+    }
+    if kind == "given":
+        model = training.given_logistic(spark, w.FEATURES, w.GIVEN_COEFFICIENTS, w.GIVEN_INTERCEPT)
+    else:
+        model = training.train(frame, made[kind](), LABEL, cohort.call_key).model
+    registry = ModelRegistry(spark, shared_folder(spark, "models"))
+    registry.register("clf", "V1", model, signature_of(frame, w.FEATURES))
+    registry.register_function(f"clf_{kind}", "clf", "V1")
+    registry.score(frame, "clf", "V1").createOrReplaceTempView("piped")
+    call = f"clf_{kind}({', '.join(w.FEATURES)})"
+    plan = spark.sql(f"SELECT {call} FROM {{t}}", t=frame)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|UDF|[vV]ector", plan)
+    n, apart = spark.sql(f"SELECT count(*), max(abs(score - {call})) FROM piped").first()
+    assert n == frame.count() and apart < 1e-12
+
+
+def test_native_function_refuses_null_features_and_unknown_versions(spark, frame):
+    registry = ModelRegistry(spark, shared_folder(spark, "models"))
+    model = training.given_logistic(spark, ["a", "b"], [1.0, 2.0], 0.0)
+    registry.register("ab", "V1", model, [("a", "double"), ("b", "int")])
+    registry.register_function("ab", "ab")
+    assert spark.sql("SELECT ab(0.0D, 0)").first()[0] == 0.5
+    with pytest.raises(Exception, match="feature a is NULL"):
+        spark.sql("SELECT ab(a, 1) FROM VALUES (NULL), (1.0D) AS t(a)").collect()
+    with pytest.raises(VersionError):
+        registry.register_function("ab", "ab", "V2")
+    with pytest.raises(ValueError, match="already registered"):
+        registry.register_function("ab", "ab", replace=False)

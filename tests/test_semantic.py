@@ -84,7 +84,7 @@ def test_names_synonyms_and_errors(layer):
     ):
         with pytest.raises(ModelError):
             run(dims, metrics, where)
-    assert layer.model.synonyms()["laboratory"] == ["specimens.lab_site"]
+    assert layer.model.synonyms()["site"] == ["specimens.lab_site"]
 
 
 def test_ambiguous_names_and_paths():
