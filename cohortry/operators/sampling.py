@@ -1,9 +1,10 @@
 """Repeatable sampling: rows in the order of a hash of their key.
 
 A plain ``orderBy(hash).limit(n)`` sends up to n rows of every map task to one
-task. Here a histogram of the hash finds the bucket of the n-th row first; the few
-rows of that bucket are written apart, and give the place of the n-th row. The
-sample is then a filter and stays distributed. Both looks read the key columns only.
+task. Here a histogram of the hash, over the key columns alone, finds the bucket of the
+n-th row first. A second scan writes the rows up to that bucket; the few rows of the
+bucket itself give the place of the n-th row, and the sample is a filter of what was
+written. Splits mark rows by the places of two looks at the key columns.
 """
 
 from __future__ import annotations
@@ -40,15 +41,26 @@ def cut_points(
     """
     by = list(by)
     slim = hashed.select(*by, *[k for k in key if k not in by], HASH)
-    bucket = F.shiftright(HASH, HASH_BITS - BUCKET_BITS)
-    fine = F.col(HASH).bitwiseAND(F.lit(2 ** (HASH_BITS - BUCKET_BITS) - 1))
-    # At most 2^16 rows per group from here to the cut, and one per group at its end.
-    counts = slim.groupBy(*by, bucket.alias(BUCKET)).agg(F.count(F.lit(1)).alias("_n"))
-    edge = checkpointed(_reached(counts, by, BUCKET, take))
+    # At most 2^16 rows per group from here to the edge, and one per group at its end.
+    edge = checkpointed(_reached(_counted(slim, by, _bucket(), BUCKET), by, BUCKET, take))
     # Rows of one bucket in 2^16; the other half of the hash counts them once more.
-    inside = checkpointed(null_safe_join(slim.withColumns({BUCKET: bucket, FINE: fine}), edge, [*by, BUCKET]))
-    counts = inside.groupBy(*by, FINE).agg(F.count(F.lit(1)).alias("_n"), F.max(NEED).alias("_goal"))
-    last = null_safe_join(inside.drop(NEED), _reached(counts, by, FINE), [*by, FINE])
+    inside = checkpointed(null_safe_join(slim.withColumn(BUCKET, _bucket()), edge, [*by, BUCKET]))
+    return _cut_inside(inside, key, by)
+
+
+def _bucket() -> Column:
+    return F.shiftright(HASH, HASH_BITS - BUCKET_BITS)
+
+
+def _counted(rows: DataFrame, by: list[str], value: Column, name: str, *more: Column) -> DataFrame:
+    return rows.groupBy(*by, value.alias(name)).agg(F.count(F.lit(1)).alias("_n"), *more)
+
+
+def _cut_inside(inside: DataFrame, key: Sequence[str], by: list[str]) -> DataFrame:
+    """Per group the place of the row that is number ``NEED`` in the group's edge bucket."""
+    fine = F.col(HASH).bitwiseAND(F.lit(2 ** (HASH_BITS - BUCKET_BITS) - 1))
+    counts = _counted(inside, by, fine, FINE, F.max(NEED).alias("_goal"))
+    last = null_safe_join(inside.drop(NEED).withColumn(FINE, fine), _reached(counts, by, FINE), [*by, FINE])
     # Only rows that share the whole hash with the cut are ranked.
     rank = F.row_number().over(Window.partitionBy(*by, FINE).orderBy(_place(key)))
     return last.withColumn("_rank", rank).filter(F.col("_rank") == F.col(NEED)).select(*by, _place(key).alias("_cut"))
@@ -99,8 +111,15 @@ def sample_rows(
         return df.limit(0)
     hashed = df.withColumn(HASH, key_hash(*key, salt=salt))
     order = list(dict.fromkeys([*key, *tie_break]))
-    cut = cut_points(hashed, order, lambda size: F.least(size, F.lit(n)))
-    return hashed.filter(_place(order) <= cut.scalar()).drop(HASH)
+    counts = _counted(hashed, [], _bucket(), BUCKET)
+    edge = _reached(counts, [], BUCKET, lambda size: F.least(size, F.lit(n))).first()
+    if edge is None:
+        return df.limit(0)
+    # The sample and the rest of its last bucket, one row in 2^16, are drawn once and written.
+    drawn = checkpointed(hashed.filter(_bucket() <= edge[BUCKET]))
+    inside = drawn.filter(_bucket() == edge[BUCKET]).select(*order, HASH).withColumn(NEED, F.lit(edge[NEED]))
+    cut = _cut_inside(inside, order, [])
+    return drawn.filter(_place(order) <= cut.scalar()).drop(HASH)
 
 
 def stratified_split(
