@@ -123,3 +123,36 @@ def register_confidence(
     if not replace and spark.catalog.functionExists(name):
         raise ValueError(f"function {name!r} is already registered")
     spark.udf.register(name, confidence_udf(caps, digits))
+
+
+def confidence_sql(caps: ScoreCaps) -> str:
+    """The rounded score as SQL text in the names of the measures and the flag."""
+
+    def part(value: str, cap: float, points: int) -> str:
+        return f"least({value} / {float(cap)!r}D, 1.0D) * {points}"
+
+    above = f"greatest(mapping_quality - {float(caps.mapq_floor)!r}D, 0.0D)"
+    total = " + ".join(
+        (
+            part("vaf", caps.vaf, VAF_POINTS),
+            part("read_depth", caps.depth, DEPTH_POINTS),
+            part("alt_read_count", caps.alt_reads, READS_POINTS),
+            part(above, caps.mapq_span, MAPQ_POINTS),
+            f"if(coalesce(actionable, false), {float(FLAG_POINTS)!r}D, 0.0D)",
+        )
+    )
+    missing = " OR ".join(f"{m} IS NULL" for m in MEASURES)
+    score = f"CASE WHEN {missing} THEN 0.0D ELSE least({total}, {TOP!r}D) END"
+    return f"CAST(round(CAST({score} AS DECIMAL(38, 10)), 2) AS DOUBLE)"
+
+
+def register_confidence_sql(spark: SparkSession, name: str, caps: ScoreCaps, replace: bool = True) -> None:
+    """The score as a function defined in SQL: the planner puts its body in place of each call.
+
+    Callers get the same rows as from ``register_confidence`` without Python workers.
+    """
+    if not replace and spark.catalog.functionExists(name):
+        raise ValueError(f"function {name!r} is already registered")
+    create = "CREATE OR REPLACE TEMPORARY FUNCTION" if replace else "CREATE TEMPORARY FUNCTION"
+    parameters = ", ".join([*(f"{m} DOUBLE" for m in MEASURES), "actionable BOOLEAN"])
+    spark.sql(f"{create} {name}({parameters}) RETURNS DOUBLE RETURN {confidence_sql(caps)}")

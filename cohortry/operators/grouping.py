@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortry.functions.scalars import percent_share
 from cohortry.operators.ranking import median_of_counts, small_domain
@@ -24,7 +25,8 @@ class Measure:
 
     ``decimals`` makes sums exact, whatever their order, for data that has at
     most so many decimals: they are summed as integers of the smallest unit. A
-    sum beyond the bigint range is an error, never a wrong value.
+    value with more decimals, or a sum beyond the bigint range, is an error,
+    never a wrong value.
     """
 
     name: str
@@ -81,10 +83,20 @@ def _column(value: Column | str) -> Column:
 def _input(measure: Measure) -> Column:
     value = _column(measure.value)
     if measure.decimals is not None:
-        value = F.rint(value.cast("double") * F.lit(10.0**measure.decimals)).cast("bigint")
+        value = whole_units(value, measure.decimals, measure.name)
     return value
 
 
+def whole_units(value: Column, decimals: int, name: str) -> Column:
+    """The value in units of its last decimal; one with more decimals is an error, never rounded unseen."""
+    scale = F.lit(10.0**decimals)
+    units = F.rint(value.cast("double") * scale)
+    broken = F.raise_error(F.concat(F.lit(f"{name} has more than {decimals} decimals: "), value.cast("string")))
+    return F.when(value.isNull() | (units / scale == value.cast("double")), units.cast("bigint")).otherwise(
+        broken.cast("bigint")
+    )
+
+
 def _partials(measure: Measure, column: str) -> dict[str, Column]:
     """Aggregates that can be merged later, keyed by a suffix."""
     value = F.col(column)
@@ -186,28 +198,83 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure])
 
 # Kinds that can be aggregated by a foreign key before anything is joined.
 ADDITIVE = frozenset(("rows", "count_where", "rate", "total", "mean", "smallest", "largest", "any_true"))
+SET, ROWS = "_set", "_n"
+
+
+def mergeable(df: DataFrame, measure: Measure) -> bool:
+    """Whether aggregates of ``measure`` over parts of a group give that of the group.
+
+    Distinct counts of whole numbers do, as bitmaps; medians of a type with few
+    values do, as counts per value.
+    """
+    if measure.kind in ADDITIVE:
+        return True
+    dtype = df.select(_column(measure.value)).schema[0].dataType
+    return isinstance(dtype, T.IntegralType) if measure.kind == "distinct" else small_domain(dtype)
+
+
+def _details(measures: Sequence[Measure]) -> dict[int, int]:
+    """The distinct counts and medians by their place, and the grouping set that each has."""
+    at = [i for i, m in enumerate(measures) if m.kind not in ADDITIVE]
+    return {i: 2 ** len(at) - 1 - 2 ** (len(at) - 1 - j) for j, i in enumerate(at)}
 
 
 def partial_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    """Aggregates per key that ``merged_stats`` folds into coarser keys; additive measures only."""
-    inputs = {m.name: f"_in_{i}" for i, m in enumerate(measures)}
-    prepared = df.select(*keys, *[_input(m).alias(inputs[m.name]) for m in measures if m.value is not None])
-    return prepared.groupBy(*keys).agg(
-        *[a.alias(f"_p{i}_{p}") for i, m in enumerate(measures) for p, a in _partials(m, inputs[m.name]).items()]
+    """Aggregates per key that ``merged_stats`` folds into coarser keys.
+
+    Distinct counts and medians keep one row per key and value, next to each other
+    from one scan; the other measures lie with the first of them.
+    """
+    prepared = df.select(*keys, *[_input(m).alias(f"_in_{i}") for i, m in enumerate(measures) if m.value is not None])
+    partials = [
+        a.alias(f"_p{i}_{p}") for i, m in enumerate(measures) if m.kind in ADDITIVE for p, a in _partials(m, f"_in_{i}").items()
+    ]
+    details = [f"_in_{i}" for i in _details(measures)]
+    if not details:
+        return prepared.groupBy(*keys).agg(*partials)
+    return prepared.groupingSets([[*keys, d] for d in details], *keys, *details).agg(
+        F.grouping_id().alias(SET), F.count(F.lit(1)).alias(ROWS), *partials
     )
 
 
 def partial_names(measures: Sequence[Measure]) -> list[str]:
-    return [f"_p{i}_{p}" for i, m in enumerate(measures) for p in _partials(m, "x")]
+    names = [f"_p{i}_{p}" for i, m in enumerate(measures) if m.kind in ADDITIVE for p in _partials(m, "x")]
+    details = [f"_in_{i}" for i in _details(measures)]
+    return [*names, *details, SET, ROWS] if details else names
 
 
 def merged_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    """One row per key from rows that ``partial_stats`` made."""
+    """One row per key from rows that ``partial_stats`` made.
+
+    Values of a distinct count become bits of bitmaps, one for each key and range of
+    values; the ranges of a key do not overlap, so their counts add up.
+    """
+    keys, set_of = list(keys), _details(measures)
+    first = F.lit(True) if not set_of else F.col(SET) == min(set_of.values())
+    ranges = [
+        F.when(F.col(SET) == set_of[i], F.bitmap_bucket_number(f"_in_{i}").cast("bigint"))
+        for i in set_of if measures[i].kind == "distinct"
+    ]
+    step: dict[str, Column] = {}
+    for i, m in enumerate(measures):
+        if m.kind in ADDITIVE:
+            step |= {f"_p{i}_{p}": _MERGE[p](F.when(first, F.col(f"_p{i}_{p}"))) for p in _partials(m, "x")}
+        else:
+            value = F.when(F.col(SET) == set_of[i], F.col(f"_in_{i}"))
+            weight = F.when(F.col(SET) == set_of[i], F.col(ROWS)).otherwise(0)
+            bits = F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(value)))
+            step[f"_d{i}"] = bits if m.kind == "distinct" else F.percentile(value, F.lit(0.5), weight)
+    if ranges:
+        merged = df.withColumn("_range", F.coalesce(*ranges)).groupBy(*keys, SET, "_range")
+        df = merged.agg(*[a.alias(n) for n, a in step.items()])
+        step = {n: _MERGE[n.rpartition("_")[2]](n) for n in step if n.startswith("_p")} | {
+            f"_d{i}": (F.sum if measures[i].kind == "distinct" else F.max)(f"_d{i}") for i in set_of
+        }
     folded = [
-        _finish(m, {p: _MERGE[p](F.col(f"_p{i}_{p}")) for p in _partials(m, "x")}).alias(m.name)
+        _finish(m, {p: step[f"_p{i}_{p}"] for p in _partials(m, "x")}) if m.kind in ADDITIVE else step[f"_d{i}"]
         for i, m in enumerate(measures)
     ]
-    return df.groupBy(*keys).agg(*folded).select(*keys, *[m.name for m in measures])
+    return df.groupBy(*keys).agg(*[c.alias(m.name) for c, m in zip(folded, measures, strict=True)])
 
 
 def stitch(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortry.functions.scalars import days_between
+from cohortry.operators.grouping import whole_units
 
 
 def trajectory(
@@ -30,7 +31,8 @@ def trajectory(
     Those two are found by an aggregate that combines on the map side, and the
     window sees one row per date: a hot series shrinks to its dates.
 
-    A difference of zero counts as falling.
+    A difference of zero counts as falling. A value with more than ``decimals``
+    decimals is an error.
     """
     order = F.struct(*tie_break)
     row = F.struct(F.col(value).alias("v"), *carry)
@@ -42,8 +44,13 @@ def trajectory(
     paired = daily.withColumns(
         {"_prev": F.lag("_last").over(steps), "prev_date": F.lag(date).over(steps)}
     ).filter(F.col("prev_date").isNotNull() & F.col("_prev").isNotNull())
-    grid = f"decimal(12,{decimals})"
-    delta = (F.col("_first.v").cast(grid) - F.col("_prev").cast(grid)) * F.lit(int(scale))
+    grid = f"decimal(20,{decimals})"
+
+    def exact(at: str) -> Column:
+        units = whole_units(F.col(at), decimals, value)
+        return (units.cast(grid) / F.lit(10**decimals)).cast(grid)
+
+    delta = (exact("_first.v") - exact("_prev")) * F.lit(int(scale))
     return (
         paired.select(
             *series,

@@ -7,7 +7,9 @@ is the feature: top-k reports, the numbered pick and the samples.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortry.functions import hashing as h
 from cohortry.functions import ladders, scalars
 from cohortry.functions.scalars import exact_round, percent_share
-from cohortry.functions.scoring import confidence, register_confidence
+from cohortry.functions.scoring import confidence, register_confidence, register_confidence_sql
 from cohortry.models import native, training
 from cohortry.models.metrics import auc_by_rank, confusion_rates
 from cohortry.models.registry import ModelRegistry, signature_of
@@ -137,6 +139,43 @@ def cohort_writeback(c: Cohort) -> DataFrame:
     return stored.groupBy("primary_cancer_type").agg(F.count(F.lit(1)).alias("calls"))
 
 
+@query
+def repeated_load(c: Cohort) -> DataFrame:
+    """Calls loaded in two parts, the first one twice: every call counts once."""
+    calls, path = relational.labelled_calls(c.calls, c.ladder), shared_folder(c.spark, "loads")
+    for state in ("F", "O", "F"):
+        loaded = sinks.load_part(calls.filter(F.col("variant_type") == state), MAPPED_CALLS, path, state)
+    return loaded.groupBy("load_id").agg(
+        F.count(F.lit(1)).alias("calls"), F.count_if(F.col("call_filter") == "PASS").alias("passing"),
+        F.max("vaf").cast("double").alias("max_vaf"),
+    )
+
+
+@query
+def replaced_table(c: Cohort) -> DataFrame:
+    """A table under a name, rewritten from itself without its failed draws."""
+    sinks.replace_table(c.specimens, "draws_now")
+    kept = sinks.replace_table(c.spark.table("draws_now").filter("qc_status = 'PASS'"), "draws_now")
+    return kept.groupBy("lab_site").agg(F.count(F.lit(1)).alias("draws"))
+
+
+@query
+def reportable_bucketed(c: Cohort) -> DataFrame:
+    """The reportable view over calls that are stored in buckets of their draw."""
+    return relational.reportable_view(replace(c, calls=sinks.save_bucketed(c.calls, "calls_by_draw", "specimen_id")))
+
+
+@query
+def pruned_join(c: Cohort) -> DataFrame:
+    """Calls of actionable genes per brand, from a layout that the panel's filter prunes."""
+    brands = c.panel.select("gene_id", F.col("gene_symbol").alias("brand"))
+    stored = sinks.write_pruned(c.calls.join(brands, "gene_id"), shared_folder(c.spark, "by-brand"), "brand")
+    wanted = c.panel.filter(F.col("is_actionable") & (F.col("chromosome") == "chr7"))
+    wanted = wanted.select(F.col("gene_symbol").alias("brand"), "targeted_therapy").distinct()
+    few = wanted.groupBy("brand").agg(F.count(F.lit(1)).alias("therapies")).filter("therapies > 1")
+    return stored.join(few, "brand").groupBy("brand").agg(F.count(F.lit(1)).alias("calls"), F.max("vaf").alias("max_vaf"))
+
+
 @query
 def load_checks(c: Cohort) -> DataFrame:
     return w.load_checks(c)
@@ -423,14 +462,24 @@ def confidence_score_udf(c: Cohort) -> DataFrame:
 def top_confidence(c: Cohort) -> DataFrame:
     """The registered score called from SQL text over the named reportable view."""
     register_confidence(c.spark, "cohort_confidence", c.caps, digits=None)
+    call = f"cohort_confidence({', '.join(w.FEATURES)}, is_actionable)"
+    return _most_trusted(c, f"CAST(round(CAST({call} AS DECIMAL(38, 10)), 2) AS DOUBLE)")
+
+
+@query
+def top_confidence_sql(c: Cohort) -> DataFrame:
+    """The same rows from a score that is defined in SQL and needs no Python worker."""
+    register_confidence_sql(c.spark, "cohort_confidence_sql", c.caps)
+    return _most_trusted(c, f"cohort_confidence_sql({', '.join(w.FEATURES)}, is_actionable)")
+
+
+def _most_trusted(c: Cohort, score: str) -> DataFrame:
     relational.register_reportable(c, "reportable_calls")
     order = ", ".join(c.call_order)
     return c.spark.sql(
         f"""
         SELECT {", ".join(c.call_key)}, gene_symbol, round(CAST(vaf * 100 AS DECIMAL(38, 10)), 3) AS vaf_raw,
-               read_depth, alt_read_count, clinical_significance,
-               CAST(round(CAST(cohort_confidence({", ".join(w.FEATURES)}, is_actionable) AS DECIMAL(38, 10)), 2) AS DOUBLE)
-                 AS confidence
+               read_depth, alt_read_count, clinical_significance, {score} AS confidence
         FROM reportable_calls WHERE is_actionable
         ORDER BY confidence DESC NULLS LAST, {order} LIMIT 20
         """
@@ -776,17 +825,31 @@ def sv_synonyms(c: Cohort) -> DataFrame:
     return semantic(c).run(["disease"], ["number of patients", "call volume"], ["actionable"])
 
 
-@query
-def sv_parity(c: Cohort) -> DataFrame:
-    """The same model on the tables and on a written copy of them."""
+def _deployed(c: Cohort) -> SemanticQuery:
+    """The same model over catalog views of the tables: a second place where it runs."""
     layer = semantic(c)
     names = ["calls", "specimens", "patients", "panel"]
-    source = {n: layer.base(n) for n in names}
-    copy = sinks.copy_tables(c.spark, source, shared_folder(c.spark, "copy"))
+    for name in names:
+        layer.base(name).createOrReplaceTempView(f"deployed_{name}")
+    return SemanticQuery(layer.model, {n: c.spark.table(f"deployed_{n}") for n in names})
+
+
+@query
+def sv_parity(c: Cohort) -> DataFrame:
+    """A metric of the same model in two deployments, side by side."""
     ask = (["specimens.lab_site"], ["reportable_calls_per_specimen"])
-    here, there = layer.run(*ask), SemanticQuery(layer.model, copy).run(*ask)
-    columns = ["lab_site", "reportable_calls_per_specimen"]
-    return w.parity(_rounded(here), _rounded(there), columns)
+    here, there = semantic(c).run(*ask), _deployed(c).run(*ask)
+    return w.parity(_rounded(here), _rounded(there), ["lab_site", "reportable_calls_per_specimen"])
+
+
+@query
+def sv_table_parity(c: Cohort) -> DataFrame:
+    """Whole tables of two deployments compared by digests per bucket of their keys."""
+    here, there = semantic(c), _deployed(c)
+    each = [
+        w.compared(here.base(t.name), there.base(t.name), t.primary_key, t.name) for t in here.model.tables
+    ]
+    return reduce(DataFrame.unionByName, each)
 
 
 @query

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.functions.scalars import exact_round
-from cohortry.operators.grouping import ADDITIVE, Measure, group_stats, merged_stats, partial_names, partial_stats, stitch
+from cohortry.operators.grouping import Measure, group_stats, mergeable, merged_stats, partial_names, partial_stats, stitch
 from cohortry.semantic.model import (
     DerivedMetric, Field, LogicalTable, Metric, ModelError, SemanticModel, field_column,
 )
@@ -130,9 +130,19 @@ class SemanticQuery:
             needed = self._keys_from(child, table, keys)
             for r in far:
                 needed.setdefault(r.table, {})[r.column] = field_column(r.field)
-            rows = self.attach(child, needed)
+            # Whether there is such a row is all that counts, so each of its keys goes once.
+            rows = self.base(child)
             for r in far:
-                rows = rows.filter(r.test())
+                if r.table == child:
+                    rows = rows.withColumn(r.column, needed[child].pop(r.column)).filter(r.test())
+            foreign = {a for t in needed if t != child for a, _ in model.path(child, t)[0].columns}
+            last = model.path(child, table.name)[-1]
+            if last.many == child:
+                foreign |= {a for a, _ in last.columns}
+            rows = self.attach(child, needed, rows.select(*sorted(foreign)).distinct())
+            for r in far:
+                if r.table != child:
+                    rows = rows.filter(r.test())
             frame = frame.join(rows.select(*keys).distinct(), keys, "left_semi")
         return frame
 
@@ -238,7 +248,7 @@ class SemanticQuery:
                 m.measure(None if m.value is None else F.col(_name(table.name, f"in_{m.name}")))
                 for m in kinds
             ]
-            stats = self._additive(table, measures, dims, keys, restrictions, inputs)
+            stats = self._merged(table, measures, dims, keys, restrictions, inputs)
             if stats is None:
                 rows = self.restricted(table, dims, restrictions, inputs)
                 stats = group_stats(rows, keys, measures)
@@ -258,7 +268,7 @@ class SemanticQuery:
             frames.append(rows.groupBy(*keys).agg(*aggs))
         return stitch(frames, keys)
 
-    def _additive(
+    def _merged(
         self,
         table: LogicalTable,
         measures: Sequence[Measure],
@@ -269,13 +279,14 @@ class SemanticQuery:
     ) -> DataFrame | None:
         """The metrics of a table, aggregated by its foreign keys before its parents are joined.
 
-        None where that does not apply: for distinct counts and medians, for
-        filters on child tables, and where no parent is needed.
+        None where that does not apply: for distinct counts of other values than whole
+        numbers and medians of types with many values, for filters on child tables,
+        and where no parent is needed.
         """
         away = {t for t, _ in dims} | {r.table for r in restrictions}
         away.discard(table.name)
         paths = {t: self.model.path(table.name, t) for t in away}
-        if not away or any(p is None for p in paths.values()) or any(m.kind not in ADDITIVE for m in measures):
+        if not away or any(p is None for p in paths.values()):
             return None
         foreign = sorted({a for p in paths.values() for a, _ in p[0].columns})
         own = {_name(t, f.name): field_column(f) for t, f in dims if t == table.name}
@@ -286,6 +297,8 @@ class SemanticQuery:
         rows = rows.select(
             *foreign, *[c.alias(n) for n, c in own.items()], *[c.alias(n) for n, c in inputs.items()]
         )
+        if not all(mergeable(rows, m) for m in measures):
+            return None
         counted = partial_stats(rows, [*foreign, *own], measures)
         wanted = {table.name: {n: F.col(n) for n in (*own, *partial_names(measures))}}
         for t, f in dims:

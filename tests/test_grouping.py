@@ -72,3 +72,31 @@ def test_share_and_stitch(spark, df):
     left = spark.createDataFrame([("a", 1), (None, 2)], "k string, x int")
     right = spark.createDataFrame([(None, 3.0), ("c", 4.0)], "k string, y double")
     assert rows(g.stitch([left, right], ["k"])) == [("a", 1, None), ("c", None, 4.0), (None, 2, 3.0)]
+
+
+def test_partial_statistics_merge_to_the_same_as_whole_ones(spark):
+    df = spark.range(3000).selectExpr(
+        "id % 40 AS fk", "id % 40 % 3 AS k", "CASE WHEN id % 11 > 0 THEN id % 97 - 40 END AS v", "id * 40000 % 700000 AS wide",
+        "CAST(id % 13 / 100 AS DECIMAL(6,5)) AS x", "id % 50 / 4.0D AS money",
+    )
+    measures = [
+        g.rows("n"), g.distinct("values", F.col("v")), g.mean("m", F.col("money"), decimals=2), g.median("x50", F.col("x")),
+        g.distinct("far", F.col("wide")), g.count_where("pos", F.col("v") > 0), g.largest("top", F.col("v")),
+    ]
+    assert all(g.mergeable(df, m) for m in measures)
+    whole = g.group_stats(df, ["k"], measures)
+    parts = g.partial_stats(df, ["fk"], measures)
+    assert set(parts.columns) == {"fk", *g.partial_names(measures)}
+    merged = g.merged_stats(parts.withColumn("k", F.col("fk") % 3), ["k"], measures)
+    assert rows(merged) == rows(whole)
+    for few in ([measures[1]], [measures[3]], [measures[0], measures[3]]):
+        parts = g.partial_stats(df, ["fk"], few).withColumn("k", F.col("fk") % 3)
+        assert rows(g.merged_stats(parts, ["k"], few)) == rows(g.group_stats(df, ["k"], few))
+    assert not g.mergeable(df, g.distinct("t", F.col("v").cast("string")))
+
+
+def test_more_decimals_than_declared_are_an_error(spark):
+    df = spark.createDataFrame([(1.25,), (2.5,), (None,)], "x double")
+    assert rows(g.group_stats(df, [], [g.mean("m", "x", decimals=2)])) == [(1.875,)]
+    with pytest.raises(Exception, match="m has more than 1 decimals"):
+        g.group_stats(df, [], [g.mean("m", "x", decimals=1)]).collect()

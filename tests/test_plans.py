@@ -137,3 +137,82 @@ def test_hot_join_key_is_split(spark, cohort, no_broadcast):
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     assert "SortMergeJoin(skew=true)" in text
+
+
+def scans(text):
+    return text.count("FileScan")
+
+
+def test_samples_take_two_scans_of_the_table(cohort):
+    """The histogram's scan is over when the plan is made; the plan reads what the second one wrote."""
+    text = plan(QUERIES["hash_sample"](cohort.spark, SMALL))
+    assert scans(text) <= 5 and not scan_of(text, "l_orderkey")
+    assert "SortAggregate" not in text
+
+
+def test_score_defined_in_sql_needs_no_python(spark):
+    text = plan(QUERIES["top_confidence_sql"](spark, SMALL))
+    assert "Python" not in text and "Arrow" not in text
+    assert "ArrowEvalPython" in plan(QUERIES["top_confidence"](spark, SMALL))
+
+
+def test_model_score_is_a_native_expression(spark):
+    text = plan(QUERIES["model_score"](spark, SMALL))
+    assert not re.search("Python|Arrow|UDF|[vV]ector", text)
+
+
+def test_bucketed_calls_are_not_moved(spark, no_broadcast):
+    from cohortry.sources.tables import mapped
+    from cohortry.sources import sinks
+
+    cohort = mapped(spark, SMALL)
+    stored = sinks.save_bucketed(cohort.calls, "calls_of_plan_test", "specimen_id")
+    joined = stored.join(relational.passing_specimens(cohort.specimens), "specimen_id")
+    text = plan(joined.groupBy("specimen_id").agg(F.max("vaf")))
+    assert text.count("Exchange") == 1 and "SortMergeJoin" in text
+
+
+def test_filtered_panel_prunes_the_folders_of_calls(spark):
+    df = QUERIES["pruned_join"](spark, SMALL)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text.lower()
+
+
+@pytest.mark.parametrize("name", ["sv_actionable", "sv_call_metrics", "sv_synonyms"])
+def test_distinct_metrics_meet_the_join_grouped(spark, no_broadcast, name):
+    """Nothing of the calls reaches a join before it is grouped by its keys."""
+    optimized = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    for at, line in enumerate(optimized):
+        if "l_orderkey" in line and "Relation" in line:
+            depth = len(re.match(r"[ :+\-]*", line).group())
+            above = []
+            for upper in reversed(optimized[:at]):
+                d = len(re.match(r"[ :+\-]*", upper).group())
+                if d < depth:
+                    depth = d
+                    above.append(upper[d:].split()[0])
+            first = next(x for x in above if x in ("Join", "Aggregate"))
+            assert first == "Aggregate", (name, above)
+
+
+def test_table_parity_compares_digests(cohort):
+    calls = cohort.calls.limit(3000).persist()
+    try:
+        one = F.col("specimen_id") == calls.agg(F.min("specimen_id")).first()[0]
+        other = calls.withColumn("vaf", F.when(one, 0.77).otherwise(F.col("vaf")))
+        key = cohort.call_key
+        n = other.filter("vaf = 0.77").count()
+        found = w.changed_rows(calls, other, key, buckets=64).collect()
+        assert n >= 1 and len(found) == 2 * n
+        assert {(r.n_left, r.n_right) for r in found} == {(1, 0), (0, 1)}
+        assert w.unequal_buckets(calls, other, key, buckets=64).count() <= n
+        missing = calls.filter("line_number <> 2")
+        assert w.changed_rows(calls, missing, key, 64).agg(F.sum("n_left") - F.sum("n_right")).first()[0] == (
+            calls.count() - missing.count()
+        )
+        assert w.unequal_buckets(calls, calls.repartition(7), key).count() == 0
+        null = calls.withColumn("vaf", F.lit(None).cast("double"))
+        assert w.unequal_buckets(null, null.withColumn("variant_type", F.lit(None).cast("string")), key, 8).count() == 8
+    finally:
+        calls.unpersist()

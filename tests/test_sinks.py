@@ -57,3 +57,48 @@ def test_write_back_and_save_table(spark):
 def test_declared_schemas():
     assert [len(s) for s in (schemas.PANEL, schemas.PATIENTS, schemas.SPECIMENS, schemas.CALLS, schemas.REPORTS)] == [7, 7, 10, 15, 6]
     assert [f.name for f in schemas.PANEL.fields if f.nullable] == ["targeted_therapy"]
+
+
+def test_repeated_load_counts_once_and_a_failed_one_changes_nothing(spark):
+    path = shared_folder(spark, "loads")
+    day = lambda *ids: spark.createDataFrame([(i, 0.5, "n") for i in ids], "id int, x double, note string")
+    sinks.load_part(day(1, 2), SCHEMA, path, "monday")
+    sinks.load_part(day(3), SCHEMA, path, "tuesday")
+    loaded = sinks.load_part(day(1, 2, 4), SCHEMA, path, "monday")
+    want = [(1, "monday"), (2, "monday"), (3, "tuesday"), (4, "monday")]
+    assert rows(loaded.select("id", "load_id")) == want
+    with pytest.raises(Exception, match="NULL in required column id"):
+        sinks.load_part(day(5, None), SCHEMA, path, "monday")
+    assert rows(spark.read.parquet(path).select("id", "load_id")) == want
+    assert [f.dataType for f in loaded.schema.fields[:3]] == [f.dataType for f in SCHEMA.fields]
+
+
+def test_table_is_replaced_from_itself_and_survives_a_failed_write(spark):
+    first = sinks.replace_table(spark.range(10).selectExpr("id", "id % 2 AS odd"), "numbers_now")
+    held = spark.table("numbers_now")
+    second = sinks.replace_table(spark.table("numbers_now").filter("odd = 1"), "numbers_now")
+    assert (first.count(), held.count(), second.count(), spark.table("numbers_now").count()) == (10, 10, 5, 5)
+    with pytest.raises(Exception, match="not this one"):
+        sinks.replace_table(spark.table("numbers_now").selectExpr("id", "raise_error('not this one') AS odd"), "numbers_now")
+    assert rows(spark.table("numbers_now").select("id")) == [(1,), (3,), (5,), (7,), (9,)]
+
+
+def test_bucketed_tables_join_without_moving_rows(spark):
+    a = sinks.save_bucketed(spark.range(500).selectExpr("id % 50 AS k", "id AS v"), "bucketed_a", "k", 4)
+    b = sinks.save_bucketed(spark.range(50).selectExpr("id AS k", "id * 2 AS w"), "bucketed_b", "k", 4)
+    joined = a.hint("merge").join(b, "k")
+    assert joined.count() == 500
+    joined.collect()
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pruned_layout_keeps_nulls_and_spreads_a_hot_value(spark):
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id < 900 THEN 'hot' WHEN id < 990 THEN 'cold' END AS part")
+    # A table this small would be put into one task.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored = sinks.write_pruned(df, shared_folder(spark, "pruned"), "part")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert rows(stored.groupBy("part").count()) == [("cold", 90), ("hot", 900), (None, 10)]
+    assert stored.filter("part = 'hot'").select("_metadata.file_path").distinct().count() > 1
