@@ -47,8 +47,10 @@ TOKENS = 96
 LEAST_AGREE = 62
 CENTERS = 2
 SMALL_NODE = 16
-# A child with at least this share of its parent's rows does not shrink any more.
-DENSE_SHARE = 0.75
+# A child with at least this share of its parent's rows makes the rows of the next level grow.
+DENSE_SHARE = 0.5
+# A node with at least this share of its rows close to a centre holds a group of near copies.
+ALIKE_SHARE = 0.25
 BLOCK = 4096
 
 
@@ -136,8 +138,14 @@ def _children(key: F.Column, level: int) -> F.Column:
     return F.array(*(F.xxhash64(key, at, F.get("tokens", at)) for at in places))
 
 
-def final_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(small, dense): rows (node, cid) of the nodes at which the trees end."""
+def final_nodes(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(small, dense): rows (node, cid) of the nodes at which the trees end.
+
+    A large node ends as dense when it keeps half of its parent, since two children
+    of a row would then make its rows grow, or when a quarter of its rows look like
+    one of its centres. So a group of near copies, however large, is settled where
+    it first shows instead of being split level by level.
+    """
     spark = classes.sparkSession
     total = classes.count()
     nothing = spark.createDataFrame([], "node long, cid long")
@@ -160,6 +168,9 @@ def final_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         open_rows = sized.filter(~is_small & ~(stays | last))
         if open_rows.isEmpty():
             break
+        alike = checkpointed(alike_nodes(open_rows, classes, percent))
+        dense = dense.union(open_rows.join(alike, "node", "left_semi").select("node", "cid"))
+        open_rows = open_rows.join(alike, "node", "left_anti")
         level_rows = (
             open_rows.join(classes.select("cid", "tokens"), "cid")
             .select(
@@ -171,6 +182,15 @@ def final_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return small, dense
 
 
+def alike_nodes(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The nodes of ``rows`` (node, cid, size) of which at least ``ALIKE_SHARE`` of the rows look like a centre."""
+    met = checkpointed(with_centers(rows))
+    close = likely(met.select("a", "b"), classes, percent).toDF("c", "d")
+    links = met.join(close, (F.col("a") == F.col("c")) & (F.col("b") == F.col("d")), "left_semi")
+    counted = links.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    return counted.filter(F.col("n") >= ALIKE_SHARE * F.col("size")).select("node")
+
+
 def small_pairs(small: DataFrame) -> DataFrame:
     """All pairs (a, b), a < b, within small nodes; a node has ``SMALL_NODE`` rows at most."""
     members = small.groupBy("node").agg(F.sort_array(F.collect_set("cid")).alias("m"))
@@ -179,13 +199,22 @@ def small_pairs(small: DataFrame) -> DataFrame:
     )
 
 
+def with_centers(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, cid, ...) each with the centres of its node, as a pair (a, b), a < b.
+
+    Centres have the smallest hashes of a node. The hash is the same for all nodes, so
+    nodes with the same group of copies choose the same ones, and pairs recur.
+    """
+    drawn = Window.partitionBy("node").orderBy(F.xxhash64("cid"), "cid")
+    centers = rows.select("node", "cid").withColumn("at", F.row_number().over(drawn)).filter(F.col("at") <= CENTERS)
+    centers = centers.select(F.col("node").alias("of"), F.col("cid").alias("center"))
+    met = rows.join(centers, F.col("node") == F.col("of")).filter(F.col("cid") != F.col("center"))
+    return met.withColumns({"a": F.least("cid", "center"), "b": F.greatest("cid", "center")}).drop("of", "center")
+
+
 def star_pairs(dense: DataFrame) -> DataFrame:
-    """Each member of a dense node with some members drawn by a hash, others in each node."""
-    drawn = Window.partitionBy("node").orderBy(F.xxhash64("node", "cid"), "cid")
-    centers = dense.withColumn("at", F.row_number().over(drawn)).filter(F.col("at") <= CENTERS)
-    centers = centers.select("node", F.col("cid").alias("center"))
-    met = dense.join(centers, "node").filter(F.col("cid") != F.col("center"))
-    return met.select(F.least("cid", "center").alias("a"), F.greatest("cid", "center").alias("b"))
+    """Each member of a dense node with its centres."""
+    return with_centers(dense).select("a", "b")
 
 
 def unsettled(dense: DataFrame, labels: DataFrame) -> DataFrame:
@@ -307,7 +336,7 @@ def near_duplicates(
         (F.count(F.lit(1)) > 1).alias("again"),
     )
     classes = checkpointed(grouped.withColumn("cid", F.monotonically_increasing_id()))
-    small, dense = final_nodes(classes)
+    small, dense = final_nodes(classes, percent)
     dense = checkpointed(dense)
     pairs = checkpointed(likely(small_pairs(small).union(star_pairs(dense)), classes, percent))
 

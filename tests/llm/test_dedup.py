@@ -4,11 +4,14 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cohortry.llm import near_dedup
 from cohortry.llm.near_dedup import components, near_duplicates, one_of_each, op7_minhash_near_dedup
 from cohortry.llm.substring_dedup import drop_repeats, op10_substring_dedup
+from cohortry.session import checkpointed
 from tests.llm.conftest import CLASHING, SMALL, prose, table_rows
 
 
@@ -101,11 +104,12 @@ def test_recall_of_the_trees_at_full_depth(spark, monkeypatch):
 
     monkeypatch.setattr(nd, "SMALL_NODE", 1)
     monkeypatch.setattr(nd, "DENSE_SHARE", 2.0)
+    monkeypatch.setattr(nd, "ALIKE_SHARE", 3.0)
     draw = np.random.default_rng(4)
     one = draw.integers(0, 2**31 - 1, (600, nd.TOKENS))
     two = np.where(draw.random(one.shape) < 0.8, one, draw.integers(0, 2**31 - 1, one.shape))
-    rows = [(2 * i + k, t.tolist()) for i in range(600) for k, t in enumerate((one[i], two[i]))]
-    _, dense = nd.final_nodes(spark.createDataFrame(rows, "cid long, tokens array<int>"))
+    rows = [(2 * i + k, t.tolist(), 300) for i in range(600) for k, t in enumerate((one[i], two[i]))]
+    _, dense = nd.final_nodes(spark.createDataFrame(rows, "cid long, tokens array<int>, n_shingles long"))
     met = dense.selectExpr("cid div 2 as pair", "node", "cid").groupBy("node", "pair").agg({"cid": "count"})
     assert met.filter("`count(cid)` > 1").select("pair").distinct().count() == 600
 
@@ -168,3 +172,19 @@ def test_empty_tables(documents):
     assert near_duplicates(nothing).collect() == []
     assert one_of_each(nothing).collect() == []
     assert drop_repeats(nothing).collect() == []
+
+
+@pytest.mark.parametrize("share", [0.6, 0.7, 0.9])
+def test_rows_of_a_level_do_not_grow_on_a_large_group(spark, share):
+    """1,000 sets that agree with a base in a share of their tokens: copies are settled, others end as dense nodes."""
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 2**31, near_dedup.TOKENS)
+    rows = []
+    for i in range(1000):
+        own = draw.integers(0, 2**31, near_dedup.TOKENS)
+        rows.append((i, [int(x) for x in np.where(draw.random(near_dedup.TOKENS) < share, base, own)], 300))
+    classes = checkpointed(spark.createDataFrame(rows, "cid long, tokens array<int>, n_shingles long"))
+    small, dense = near_dedup.final_nodes(classes)
+    first = 2 * near_dedup.TREES * len(rows)
+    assert dense.count() + small.count() <= 2 * first
+    assert near_dedup.star_pairs(dense).distinct().count() <= 40 * len(rows)
