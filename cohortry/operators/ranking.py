@@ -171,3 +171,51 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     """Exact median per key; equal values are counted before anything is ranked."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     return median_of_counts(counts, keys, value, "_n", name)
+
+
+RANGE_BUCKETS = 4096
+
+
+def median_by_ranges(
+    df: DataFrame, keys: Sequence[str], value: str, name: str = "median", buckets: int = RANGE_BUCKETS
+) -> DataFrame:
+    """Exact median per key of any numeric value by narrowing ranges; rows are never moved or sorted.
+
+    A first aggregate gives the number, the smallest and the largest value of each
+    key. Every pass then counts the rows of a key's range in equal buckets, combined
+    where the rows lie, and goes on with the smallest and largest value of the bucket
+    that holds the middle. The ends of a range fall into different buckets, so a range
+    shrinks with each pass, by about ``buckets`` times; it ends at one value. What
+    travels is one row per key, range and bucket.
+
+    NULL and NaN are no values; a key without any has no row.
+    """
+    keys = list(keys) or ["_all"]
+    rows = df.withColumn("_all", F.lit(0)).select(*keys, F.col(value).cast("double").alias("_v"))
+    rows = rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    middle = F.array(F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1"))
+    found = checkpointed(sizes.select(*keys, F.explode(middle).alias("_need"), "_lo", "_hi"))
+    is_open = F.col("_lo") < F.col("_hi")
+    while not found.filter(is_open).isEmpty():
+        ranges = found.filter(is_open).select(*keys, "_lo", "_hi").distinct()
+        inside = null_safe_join(rows, ranges, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        # Halves, as the width of a range may be beyond the largest double.
+        width = F.col("_hi") / 2 - F.col("_lo") / 2
+        share = F.try_divide(F.col("_v") / 2 - F.col("_lo") / 2, width)
+        bucket = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * (buckets - 1)), F.lit(buckets - 2).cast("bigint"))
+        bucket = F.when(F.col("_v") == F.col("_hi"), buckets - 1).otherwise(bucket)
+        range_of = [*keys, "_lo", "_hi"]
+        counts = inside.groupBy(*range_of, bucket.alias("_bucket")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+        )
+        # At most ``buckets`` rows per range.
+        up_to = Window.partitionBy(*range_of).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+        counts = counts.withColumn("_up_to", F.sum("_n").over(up_to))
+        hit = null_safe_join(found.filter(is_open), counts, range_of)
+        before = F.col("_up_to") - F.col("_n")
+        hit = hit.filter((F.col("_need") > before) & (F.col("_need") <= F.col("_up_to")))
+        narrowed = hit.select(*keys, (F.col("_need") - before).alias("_need"), F.col("_low").alias("_lo"), F.col("_high").alias("_hi"))
+        found = checkpointed(narrowed.unionByName(found.filter(~is_open)))
+    medians = found.groupBy(*keys).agg((F.sum("_lo") / 2).alias(name))
+    return medians.drop("_all")

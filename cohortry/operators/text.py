@@ -76,6 +76,34 @@ def classify(
     return F.when(best["hits"] > 0, best["label"]).when(text.isNotNull(), F.lit(otherwise))
 
 
+def words(text: Column) -> Column:
+    """The words of a text in lower case, marks left out."""
+    return F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
+
+
+def classify_words(text: Column, labels: dict[str, Sequence[str]], otherwise: str | None = None) -> Column:
+    """The label whose words occur most; the earlier label wins a tie, as in ``classify``.
+
+    A text is split once, whatever the number of labels, and each label takes one
+    look-up per word; a phrase of several words needs ``classify``.
+    """
+    found = words(text)
+
+    def hits(split: Column, own: Sequence[str]) -> Column:
+        return F.size(F.filter(split, lambda w: w.isin(*own)))
+
+    def best(split: Column) -> Column:
+        scored = [
+            F.struct(hits(split, own).alias("hits"), F.lit(-place).alias("place"), F.lit(label).alias("label"))
+            for place, (label, own) in enumerate(labels.items())
+        ]
+        top = F.array_max(F.array(*scored))
+        return top["label"] if otherwise is None else F.when(top["hits"] > 0, top["label"]).otherwise(otherwise)
+
+    # The lambda names the words once for all labels.
+    return F.when(text.isNotNull(), F.element_at(F.transform(F.array(found), best), 1))
+
+
 def first_words(text: Column, k: int) -> Column:
     """The first sentence, cut to at most ``k`` words."""
     sentence = F.regexp_extract(text, SENTENCE, 0)

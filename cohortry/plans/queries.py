@@ -301,9 +301,9 @@ def gene_stats(c: Cohort) -> DataFrame:
 
 @query
 def tumor_fraction_median(c: Cohort) -> DataFrame:
-    """Median of a measure with unlimited values, ranked across tasks."""
+    """Median of a measure with unlimited values, from counts in ranges that narrow."""
     draws = relational.draws_with_patients(c.specimens, c.patients)
-    medians = ranking.exact_median(draws, ["primary_cancer_type"], "tumor_fraction")
+    medians = ranking.median_by_ranges(draws, ["primary_cancer_type"], "tumor_fraction")
     return medians.select("primary_cancer_type", exact_round(F.col("median"), 3).alias("median"))
 
 
@@ -497,10 +497,10 @@ FIELDS = {
     "opening": (r"^([^.!?\r\n]+)", "string"),
 }
 LABELS = {
-    "english": [" the ", " and ", " of "],
-    "german": [" der ", " und ", " die "],
-    "french": [" le ", " les ", " du "],
-    "spanish": [" el ", " los ", " del "],
+    "english": ["the", "and", "of"],
+    "german": ["der", "und", "die"],
+    "french": ["le", "les", "du"],
+    "spanish": ["el", "los", "del"],
 }
 
 
@@ -555,14 +555,14 @@ def text_extract_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def text_classify(c: Cohort) -> DataFrame:
-    label = tx.classify(tx.padded(F.col("report_text")), LABELS, otherwise="unknown")
+    label = tx.classify_words(F.col("report_text"), LABELS, otherwise="unknown")
     return c.reports.select("report_id", label.alias("label"))
 
 
 @query
 def text_class_share(c: Cohort) -> DataFrame:
     labelled = c.reports.select(
-        tx.classify(tx.padded(F.col("report_text")), LABELS, otherwise="unknown").alias("label")
+        tx.classify_words(F.col("report_text"), LABELS, otherwise="unknown").alias("label")
     )
     return g.counts_with_share(labelled, ["label"], "reports", "pct", 1)
 

@@ -73,3 +73,33 @@ def test_first_numbered_and_top_per_group_break_ties(spark):
     assert rows(best.select("g", "id")) == [("s", 2), ("t", 4)]
     assert rows(ranking.first_numbered(df.select("id"), ["id"], 2)) == [(1, 1), (2, 2)]
     assert ranking.first_numbered(df.select("id"), ["id"], 99).count() == 4
+
+
+@pytest.mark.parametrize("buckets", [4, 4096])
+def test_median_by_ranges_matches_a_plain_median(spark, buckets):
+    import random
+    import statistics
+
+    draw = random.Random(buckets)
+    values = {
+        "skew": [draw.lognormvariate(0, 9) for _ in range(501)], "same": [2.5] * 40, "two": [1.0, 4.0], "one": [7.0],
+        "huge": [-1.7e308, 1.7e308, 0.0, 5e-324, -5e-324, 1e-300], "ties": [1.0] * 10 + [2.0] * 10 + [3.0],
+        None: [float(i) for i in range(100)],
+    }
+    data = [(k, v) for k, vs in values.items() for v in vs] + [("none", None), ("nan", float("nan")), ("one", float("nan"))]
+    df = spark.createDataFrame(data, "k string, v double").repartition(5)
+    got = dict((r.k, r.median) for r in ranking.median_by_ranges(df, ["k"], "v", buckets=buckets).collect())
+    assert got == {k: statistics.median(vs) for k, vs in values.items()}
+    every = [v for vs in values.values() for v in vs]
+    assert rows(ranking.median_by_ranges(df, [], "v", buckets=buckets)) == [(statistics.median(every),)]
+    assert rows(ranking.median_by_ranges(df.limit(0), ["k"], "v")) == []
+
+
+def test_median_by_ranges_moves_no_rows(spark):
+    df = spark.range(5000).selectExpr("id % 3 AS k", "id * 1.7D AS v").repartition(4)
+    ranking.median_by_ranges(df, ["k"], "v")
+    from cohortry.operators.ranking import null_safe_join
+
+    ranges = spark.range(3).selectExpr("id AS k", "0.0D AS lo", "9.0D AS hi")
+    text = null_safe_join(df, ranges, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text

@@ -35,6 +35,14 @@ def test_classify_ties_case_and_fallback(spark):
     assert other[2] == "other" and other[3] == "other" and other[4] is None
 
 
+def test_classify_words_agrees_with_a_plain_count(spark, cohort):
+    labels = {"first": ["alpha"], "second": ["beta", "gamma"]}
+    df = texts(spark, "ALPHA beta", "beta, GAMMA! alpha", "none", "", None, "betabeta alpha", "beta beta alpha")
+    got = dict(rows(df.select("id", tx.classify_words(F.col("t"), labels, "other"))))
+    assert got == {0: "first", 1: "second", 2: "other", 3: "other", 4: None, 5: "first", 6: "second"}
+    assert dict(rows(df.select("id", tx.classify_words(F.col("t"), labels))))[2] == "first"
+
+
 def test_first_words(spark):
     df = texts(spark, "One  two\nthree four. Five.", "", None, "... x", "no stop at all")
     got = dict(rows(df.select("id", tx.first_words(F.col("t"), 3))))
