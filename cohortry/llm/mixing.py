@@ -2,16 +2,15 @@
 
 Documents are counted once into cells (source, language, topic) with their
 tokens; everything after that works on cells. Each round scales the cell weights
-to the targets of one margin after the other. Then one factor is sought with
-which every cell's sampling probability is at most one and the expected tokens
-meet the budget, and a document is kept if the hash of its id falls below its
-cell's probability: a pure function of the id, so lost work is redone alike.
+to the targets of one margin after the other. A cell's weight per token, times the
+budget, is how often each of its rows is expected in the sample: a probability up to
+one, and copies beyond for cells that hold fewer tokens than their targets ask for.
+A row's ``copies`` are that number, rounded up or down by the hash of its id: a pure
+function of the id, so lost work is redone alike. Rows taken as often as their copies
+have the budget and the target shares in expectation, rare cells included.
 
-A cell with fewer tokens than its target asks for is kept whole by that, and the
-drawn rows alone miss the margins. So each cell also has its expected copies
-(weight per token times the budget, above one for such cells), and each row its
-``copies``, drawn from the same hash: rows repeated that often have the budget
-and the target shares in expectation, rare cells included.
+A row is never taken more than ``max_copies`` times. What a cell then lacks of its
+weight is in ``shortfall``; nothing else takes its place.
 
 The targets of a margin are its token shares, tempered by a power below one
 (small classes gain) or given as a table. Defined cases: NULL classes are one
@@ -35,7 +34,7 @@ MARGINS = ("source", "lang", "topic")
 TEMPER = 0.5
 ROUNDS = 8
 KEEP_SHARE = 0.5
-FACTOR_ROUNDS = 8
+MAX_COPIES = 16
 HASH_DIGITS = 13
 
 # How a text's layout names its topic, first match wins.
@@ -95,34 +94,31 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     return fitted
 
 
-def probabilities(fitted: DataFrame, budget: float) -> DataFrame:
-    """Cells with ``probability``: at most one, expected tokens equal to ``budget``.
-
-    With the cells that are already sure set aside, the factor for the others
-    follows from two sums; a few repeats settle which cells are sure.
-    """
-    factor = None
-    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    cells = fitted.withColumn("ratio", ratio)
-    for _ in range(FACTOR_ROUNDS):
-        sure = F.lit(False) if factor is None else F.col("ratio") * F.lit(factor) >= 1.0
-        sums = cells.agg(
-            F.sum(F.when(sure, F.col("tokens"))).alias("sure"), F.sum(F.when(~sure, F.col("weight"))).alias("open")
-        ).first()
-        if not sums["open"]:
-            break
-        factor = (budget - float(sums["sure"] or 0)) / sums["open"]
-    return cells.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(float(factor or 0.0))))
-
-
-def expected_copies(cells: DataFrame, budget: float) -> DataFrame:
-    """Cells with ``expected``: how often a row must occur for its cell to have its weight's share of ``budget``.
-
-    In cells that are not sure it is at most the probability, as what sure cells
-    lack was spread over the others there.
-    """
+def expected_copies(cells: DataFrame, budget: float, max_copies: int = MAX_COPIES) -> DataFrame:
+    """Cells with ``asked`` and ``expected``: how often a row must occur for its cell to have its weight's share of ``budget``, and does."""
     total = cells.agg(F.sum("weight").alias("n")).first()["n"] or 0.0
-    return cells.withColumn("expected", F.col("ratio") * F.lit(budget / total if total else 0.0))
+    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
+    asked = cells.withColumn("asked", ratio * F.lit(budget / total if total else 0.0))
+    return asked.withColumn("expected", F.least(F.col("asked"), F.lit(float(max_copies))))
+
+
+def shortfall(cells: DataFrame) -> DataFrame:
+    """The cells that ``max_copies`` keeps below their weight, with the tokens they lack."""
+    lack = (F.col("asked") - F.col("expected")) * F.col("tokens")
+    return cells.filter("asked > expected").select(*MARGINS, "tokens", "asked", "expected", lack.alias("lacking"))
+
+
+def cells_of(
+    drawn: DataFrame, keep_share: float, temper: float, rounds: int, targets: Mapping[str, DataFrame] | None, max_copies: int
+) -> DataFrame:
+    """The cells of ``drawn`` (source, lang, topic, tokens), fitted, with ``asked`` and ``expected`` copies of a row."""
+    cells = checkpointed(
+        drawn.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents"))
+    )
+    wanted = dict(targets) if targets else {m: checkpointed(tempered_targets(cells, m, temper)) for m in MARGINS}
+    fitted = rake(cells, wanted, rounds)
+    total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
+    return checkpointed(expected_copies(fitted, keep_share * float(total), max_copies))
 
 
 def mix(
@@ -137,8 +133,11 @@ def mix(
     topic: Column | None = None,
     targets: Mapping[str, DataFrame] | None = None,
     seed: str = "",
+    max_copies: int = MAX_COPIES,
 ) -> DataFrame:
-    """(row, topic, tokens, probability, copies) of the kept rows; ``row`` holds the columns of ``docs``.
+    """(row, topic, tokens, expected, copies) of the kept rows; ``row`` holds the columns of ``docs``.
+
+    ``max_copies`` bounds how often a row is taken.
 
     The texts are read for the cell counts and again for the sample; they are not shuffled.
     """
@@ -150,41 +149,28 @@ def mix(
         tokens=token_count(F.col(text)),
         draw=uniform(F.concat(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))),
     )
-    cells = checkpointed(
-        drawn.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents"))
-    )
-    wanted = dict(targets) if targets else {m: checkpointed(tempered_targets(cells, m, temper)) for m in MARGINS}
-    fitted = rake(cells, wanted, rounds)
-    total = cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    budget = keep_share * float(total)
-    chances = expected_copies(probabilities(fitted, budget), budget)
-    chances = checkpointed(chances.select(*MARGINS, "probability", "expected"))
-    chances = chances.select(*(F.col(m).alias(f"c_{m}") for m in MARGINS), "probability", "expected")
+    chances = cells_of(drawn, keep_share, temper, rounds, targets, max_copies)
+    chances = chances.select(*(F.col(m).alias(f"c_{m}") for m in MARGINS), "expected")
     more = (F.col("draw") < F.col("expected") - F.floor("expected")).cast("int")
     match = (
         F.col("source").eqNullSafe(F.col("c_source"))
         & F.col("lang").eqNullSafe(F.col("c_lang"))
         & F.col("topic").eqNullSafe(F.col("c_topic"))
     )
-    return (
-        drawn.join(chances, match)
-        .filter(F.col("draw") < F.col("probability"))
-        .select("row", "topic", "tokens", "probability", (F.floor("expected").cast("int") + more).alias("copies"))
-    )
+    copies = F.floor("expected").cast("int") + more
+    kept = drawn.join(chances, match).withColumn("copies", copies).filter(F.col("copies") > 0)
+    return kept.select("row", "topic", "tokens", "expected", "copies")
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
-    """The rows of ``mix``, each as often as its copies; a row with none is left out."""
-    return mixed.filter(F.col("copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy")
+    """The rows of ``mix``, each as often as its copies."""
+    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy")
 
 
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """The sampled documents of the whole table, with their probability of at most one.
-
-    Copies are not part of this result, so its margins miss their targets where
-    cells are kept whole; ``repeated`` meets them.
-    """
+    """The sampled documents of the whole table, with the copies in which they meet the margins."""
     documents = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     return mix(documents).select(
-        "row.doc_id", "row.source", "row.lang", "topic", "tokens", F.round("probability", 6).alias("probability")
-    )
+        "row.doc_id", "row.source", "row.lang", "topic", "tokens", F.round("expected", 6).alias("expected"),
+        F.col("copies").cast("bigint").alias("copies"),
+    )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cohortry.llm.chat_format import CONTROLS, ESCAPE, LEARNED, MARKS, PROBE
-from cohortry.llm.mixing import HASH_DIGITS, KEEP_SHARE, LAYOUTS, MARGINS, ROUNDS, TEMPER
+from cohortry.llm.mixing import HASH_DIGITS, KEEP_SHARE, LAYOUTS, MARGINS, MAX_COPIES, ROUNDS, TEMPER
 from cohortry.llm.near_dedup import PERCENT
 from cohortry.llm.resampling import BUCKETS, DRAWN_PERCENT, GAIN_UNITS, LEAST_WORDS, SEED
 from cohortry.llm.substring_dedup import WINDOW
@@ -41,25 +41,18 @@ def _mixing() -> str:
     parts.append(
         f"ratio_0 AS (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS ratio FROM fit_{step})"
     )
-    parts.append(f"budget AS (SELECT {KEEP_SHARE} * sum(tokens) AS b FROM cells)")
-    factor = None
-    for i in range(8):
-        sure = "false" if factor is None else f"ratio * (SELECT f FROM {factor}) >= 1.0"
-        before = "0.0" if factor is None else f"(SELECT f FROM {factor})"
-        parts.append(
-            f"""factor_{i} AS MATERIALIZED (SELECT CASE WHEN coalesce(sum(CASE WHEN NOT ({sure}) THEN weight END), 0) = 0
-            THEN {before} ELSE ((SELECT b FROM budget) - coalesce(sum(CASE WHEN {sure} THEN tokens END), 0))
-            / sum(CASE WHEN NOT ({sure}) THEN weight END) END AS f FROM ratio_0)"""
-        )
-        factor = f"factor_{i}"
+    parts.append(
+        f"""chance AS MATERIALIZED (SELECT source, lang, topic, least({float(MAX_COPIES)!r}, ratio *
+        ({KEEP_SHARE} * (SELECT sum(tokens) FROM cells) / (SELECT sum(weight) FROM ratio_0))) AS expected FROM ratio_0)"""
+    )
     return (
         "WITH "
         + ",\n".join(parts)
-        + f""" SELECT d.doc_id, d.source, d.lang, d.topic, CAST(d.tokens AS BIGINT) AS tokens,
-        round(least(1.0, r.ratio * (SELECT f FROM {factor})), 6) AS probability
-        FROM drawn d JOIN ratio_0 r ON d.source IS NOT DISTINCT FROM r.source
-        AND d.lang IS NOT DISTINCT FROM r.lang AND d.topic IS NOT DISTINCT FROM r.topic
-        WHERE d.draw < least(1.0, r.ratio * (SELECT f FROM {factor}))"""
+        + """ SELECT doc_id, source, lang, topic, tokens, round(expected, 6) AS expected, copies FROM (
+        SELECT d.doc_id, d.source, d.lang, d.topic, CAST(d.tokens AS BIGINT) AS tokens, r.expected,
+        CAST(floor(r.expected) AS BIGINT) + CAST(d.draw < r.expected - floor(r.expected) AS BIGINT) AS copies
+        FROM drawn d JOIN chance r ON d.source IS NOT DISTINCT FROM r.source
+        AND d.lang IS NOT DISTINCT FROM r.lang AND d.topic IS NOT DISTINCT FROM r.topic) WHERE copies > 0"""
     )
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortry.llm.common import table, whole
+from cohortry.llm.common import packed, table, whole
 from cohortry.session import checkpointed
 
 SHARDS = 16
@@ -212,6 +212,14 @@ def number_within(rows: DataFrame, shard: str, order: list[str], per_run: int =
     )
 
 
+def sized_rows(docs: DataFrame, text: str) -> DataFrame:
+    """Rows as structs with the size of their text and the two hashes, of different seeds, that name it."""
+    body = whole(F.col(f"`{text}`"))
+    return packed(
+        docs, size=(F.octet_length(body) + F.lit(1)).cast("bigint"), g1=F.xxhash64(body), g2=F.xxhash64(F.lit(9), body)
+    )
+
+
 def shard_documents(
     docs: DataFrame, shards: int = SHARDS, fan_in: int = FAN_IN, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
@@ -239,10 +247,17 @@ def shard_documents(
     )
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, key: str = "doc_id") -> None:
-    """Write ``docs`` below ``path``, one folder per shard; a key may occur once only."""
-    where = shard_documents(docs, shards, doc_id=key).select(F.col("doc_id").alias(key), "shard")
-    docs.drop("shard").join(where, key).write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, fan_in: int = FAN_IN, text: str = "text") -> None:
+    """Write the rows of ``docs``, texts and all, below ``path``, one folder per shard.
+
+    A row finds its shard by its text, the group that shards keep together, so rows
+    that repeat an id stay as many as they are. A column named shard is replaced.
+    """
+    named = sized_rows(docs.drop("shard"), text)
+    groups = checkpointed(named.groupBy("g1", "g2").agg(F.sum("size").alias("bytes")))
+    parts = checkpointed(group_parts(groups, shards, fan_in).select("g1", "g2", F.col("shard").cast("int").alias("_shard")))
+    placed = named.join(parts, ["g1", "g2"]).select("row.*", "_shard")
+    placed.withColumnRenamed("_shard", "shard").write.partitionBy("shard").parquet(path)
 
 
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
