@@ -49,8 +49,8 @@ CENTERS = 2
 SMALL_NODE = 16
 # A child with at least this share of its parent's rows makes the rows of the next level grow.
 DENSE_SHARE = 0.5
-# A node with at least this share of its rows close to a centre holds a group of near copies.
-ALIKE_SHARE = 0.25
+# A node of whose probes at least this share is close to a centre holds a group of near copies.
+ALIKE_SHARE, PROBES = 0.25, 32
 BLOCK = 4096
 
 
@@ -142,8 +142,8 @@ def final_nodes(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     """(small, dense): rows (node, cid) of the nodes at which the trees end.
 
     A large node ends as dense when it keeps half of its parent, since two children
-    of a row would then make its rows grow, or when a quarter of its rows look like
-    one of its centres. So a group of near copies, however large, is settled where
+    of a row would then make its rows grow, or when a quarter of its probes look like
+    its centres. So a group of near copies, however large, is settled where
     it first shows instead of being split level by level.
     """
     spark = classes.sparkSession
@@ -183,12 +183,16 @@ def final_nodes(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
 
 
 def alike_nodes(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The nodes of ``rows`` (node, cid, size) of which at least ``ALIKE_SHARE`` of the rows look like a centre."""
-    met = checkpointed(with_centers(rows))
+    """The nodes of ``rows`` (node, cid) in which at least ``ALIKE_SHARE`` of a few probes look like a centre.
+
+    Which way a node goes is all that probes decide; either way loses no pair.
+    """
+    probes = checkpointed(first_of_nodes(rows, PROBES))
+    met = checkpointed(with_centers(probes.filter(F.col("at") > CENTERS), probes))
     close = likely(met.select("a", "b"), classes, percent).toDF("c", "d")
-    links = met.join(close, (F.col("a") == F.col("c")) & (F.col("b") == F.col("d")), "left_semi")
-    counted = links.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
-    return counted.filter(F.col("n") >= ALIKE_SHARE * F.col("size")).select("node")
+    links = met.join(close, (F.col("a") == F.col("c")) & (F.col("b") == F.col("d")), "left")
+    shares = links.groupBy("node").agg(F.count("c").alias("n"), F.count(F.lit(1)).alias("of"))
+    return shares.filter(F.col("n") >= ALIKE_SHARE * F.col("of")).select("node")
 
 
 def small_pairs(small: DataFrame) -> DataFrame:
@@ -199,22 +203,26 @@ def small_pairs(small: DataFrame) -> DataFrame:
     )
 
 
-def with_centers(rows: DataFrame) -> DataFrame:
-    """``rows`` (node, cid, ...) each with the centres of its node, as a pair (a, b), a < b.
+def first_of_nodes(rows: DataFrame, k: int) -> DataFrame:
+    """(node, cid, at): the ``k`` members of each node with the smallest hashes, numbered from 1.
 
-    Centres have the smallest hashes of a node. The hash is the same for all nodes, so
-    nodes with the same group of copies choose the same ones, and pairs recur.
+    The hash is the same for all nodes, so nodes with the same group of copies choose
+    the same members, and pairs of them recur.
     """
     drawn = Window.partitionBy("node").orderBy(F.xxhash64("cid"), "cid")
-    centers = rows.select("node", "cid").withColumn("at", F.row_number().over(drawn)).filter(F.col("at") <= CENTERS)
-    centers = centers.select(F.col("node").alias("of"), F.col("cid").alias("center"))
+    return rows.select("node", "cid").withColumn("at", F.row_number().over(drawn)).filter(F.col("at") <= k)
+
+
+def with_centers(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """``rows`` (node, cid) each with the centres of its node, the first members, as pairs (a, b), a < b."""
+    centers = first.filter(F.col("at") <= CENTERS).select(F.col("node").alias("of"), F.col("cid").alias("center"))
     met = rows.join(centers, F.col("node") == F.col("of")).filter(F.col("cid") != F.col("center"))
-    return met.withColumns({"a": F.least("cid", "center"), "b": F.greatest("cid", "center")}).drop("of", "center")
+    return met.select("node", F.least("cid", "center").alias("a"), F.greatest("cid", "center").alias("b"))
 
 
 def star_pairs(dense: DataFrame) -> DataFrame:
     """Each member of a dense node with its centres."""
-    return with_centers(dense).select("a", "b")
+    return with_centers(dense, first_of_nodes(dense, CENTERS)).select("a", "b")
 
 
 def unsettled(dense: DataFrame, labels: DataFrame) -> DataFrame:
