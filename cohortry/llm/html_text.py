@@ -76,7 +76,7 @@ MAIN_TAGS = frozenset("article main".split())
 MAIN_NAMES = frozenset("article articlebody body content entry main maincontent post story text".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>"
     r"|<[!?][^>]*(?:>|\Z)|(?P<cut></?[a-zA-Z][^>]*\Z)|(?P<text>[^<]+|<)",
     re.S,
 )
