@@ -39,7 +39,6 @@ SAMPLE = 20_000
 LEAST_DOCS = 8
 LEAST_PRECISION = 0.8
 PREFIXES = (4, 5, 6)
-MOST_ENTRIES = 20_000
 FLUSH = 400_000
 
 # Look-alikes of Latin letters, digits for letters, invisible characters.
@@ -210,7 +209,8 @@ def learn_lexicon(rows: DataFrame) -> list[tuple[str, bool, float]]:
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"),
     )
     good = per_entry.filter((F.col("t") >= LEAST_DOCS) & (F.col("t") >= LEAST_PRECISION * (F.col("t") + F.col("c"))))
-    top = good.orderBy(F.desc("t"), "c", "term", "word").limit(MOST_ENTRIES).collect()
+    # As many as the bounded sample holds; each is in several of its texts.
+    top = good.orderBy(F.desc("t"), "c", "term", "word").collect()
     odds = {
         (r["term"], r["word"]): math.log((r["t"] + 0.5) / (toxic_docs + 1)) - math.log((r["c"] + 0.5) / (other_docs + 1))
         for r in top
