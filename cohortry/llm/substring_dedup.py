@@ -45,6 +45,8 @@ from cohortry.session import checkpointed
 WINDOW = 35
 PHRASE = 8
 PHRASES_PER_SHARD = 20_000
+# A text's words are taken by its bytes, whatever parts them.
+BYTES_PER_WORD = 6
 WORDS_PER_TASK = 1_000_000
 WINDOWS_PER_PART = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -288,7 +290,7 @@ def repeated_passages(docs: DataFrame, window: int, text: str, doc_id: str) -> t
     shard = F.pmod(F.xxhash64("home"), F.lit(n_shards)).alias("shard")
     alive = patterns.select("phrase").distinct()
     sizes = held.filter(F.col("n") == 1).select(
-        "cid", (F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "), F.lit(""))) + 1).alias("size")
+        "cid", F.ceil(F.octet_length("text") / BYTES_PER_WORD).alias("size")
     )
     routes = holds.join(alive, "phrase", "left_semi").select("cid", shard).distinct().join(sizes, "cid")
     routes = checkpointed(routes)
