@@ -19,9 +19,9 @@ named columns are read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,24 +39,29 @@ LEAST_MATCH = 3
 MARGIN = 0.01
 UNKNOWN = "und"
 
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def plain(text: str | None) -> str:
-    """Lower-case letters with single blanks for everything else."""
-    return NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
+    """Lower-case letters and their marks with single blanks for everything else; empty without a letter."""
+    letters = NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
+    return letters if any(c.isalpha() for c in letters) else ""
 
 
 def learn(
     rows: DataFrame, text: str = "text", lang: str = "lang", docs_per_lang: int = DOCS_PER_LANG
 ) -> dict[str, bytes]:
-    """Dictionary content per language from labelled rows; a bounded sample by text hash."""
-    usable = rows.filter(F.col(lang).isNotNull() & (F.char_length(text) >= LEAST_CHARS)).select(
+    """Dictionary content per language from labelled rows; a bounded sample by text hash.
+
+    Texts of fewer than ``LEAST_CHARS`` code points serve where a language has too few longer ones.
+    """
+    usable = rows.filter(F.col(lang).isNotNull() & (F.char_length(text) > 0)).select(
         F.col(lang).alias("lang"),
+        (F.char_length(text) < LEAST_CHARS).alias("short"),
         F.substring(text, 1, 2 * CHARS_PER_DOC).alias("start"),
         F.xxhash64(text).alias("draw"),
     )
-    best = Window.partitionBy("lang").orderBy("draw", "start")
+    best = Window.partitionBy("lang").orderBy("short", "draw", "start")
     drawn = usable.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= docs_per_lang)
     content: dict[str, list[str]] = {}
     for row in drawn.orderBy("lang", "rank").collect():

@@ -45,6 +45,18 @@ def test_unclosed_controls_in_an_article():
     assert text("<object><p>One</p><p>Two</p>") == "One Two"
 
 
+def test_quotes_count_only_after_an_equals_sign():
+    """An apostrophe inside an unquoted value, or a quote that is never closed, takes no text with it."""
+
+    def text(body):
+        page = html_text.Page(f"<html><body><article>{body}</article></body></html>")
+        return page.text([True] * len(page.tag))
+
+    assert text("<p data-x=it's>Hello there</p><p>We don't stop</p><p>End</p>") == "Hello there We don't stop End"
+    assert text('<p title="a > b" id=\'c > d\' hidden = "x>y">One</p><p class="open>Two</p><p>Three</p>') == "One Two Three"
+    assert text("<p ' x>One</p><p>Two's</p>") == "One Two's"
+
+
 def test_no_element_is_kept_below_a_dropped_one():
     draw = random.Random(3)
     import numpy as np
@@ -106,6 +118,19 @@ def test_language_of_odd_rows(spark, documents):
     assert {r.lang_pred for r in untaught} == {"und"}
 
 
+def test_letters_marks_and_short_training_texts(spark):
+    assert language.plain("½ ² 3 _ !") == "" == language.plain("\u0301 1")
+    assert language.plain("हिन्दी, ١٢") == "हिन्दी" and language.plain("É—x") == "é x"
+    words = ["qaxo", "zuqi", "vexa", "kawu", "zozo", "wyka", "xuvi", "qiqa"]
+    strange = lambda seed, n: " ".join(random.Random(seed).choices(words, k=n))
+    rows = [(i, "en", prose(i, 60)) for i in range(30)] + [(100 + i, "zz", strange(i, 8)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    content = language.learn(docs)
+    assert set(content) == {"en", "zz"}
+    judged = language.identify(spark.createDataFrame([(1, strange(99, 60)), (2, "½ ²")], "doc_id long, text string"), content)
+    assert [r.lang_pred for r in judged.orderBy("doc_id").collect()] == ["zz", "und"]
+
+
 def test_folding_and_exceptions():
     lexicon = toxicity.Lexicon([("idiot", True, 3.0), ("scum", False, 2.0)], exceptions=("idiot proof",))
     hits = lambda text: lexicon.hits(toxicity.fold(text))
