@@ -825,6 +825,28 @@ def sv_synonyms(c: Cohort) -> DataFrame:
     return semantic(c).run(["disease"], ["number of patients", "call volume"], ["actionable"])
 
 
+@query
+def sv_significance(c: Cohort) -> DataFrame:
+    """Calls by their significance, a dimension worked out from the call and its gene."""
+    return semantic(c).run(
+        ["significance", "calls.called_chromosome"], ["total_calls", "reportable_calls", "genes_altered"],
+        [("calls.called_chromosome", ["chr7", "chr9"])],
+    )
+
+
+@query
+def sv_pathogenic_patients(c: Cohort) -> DataFrame:
+    """Patients with a pathogenic call, by cancer type."""
+    return semantic(c).run(["cancer_type"], ["patient_count"], [("calls.clinical_significance", "Pathogenic")])
+
+
+@query
+def sv_tumor_fraction_pct(c: Cohort) -> DataFrame:
+    return _rounded(
+        semantic(c).run(["specimens.lab_site"], ["specimens.avg_tumor_fraction_pct", "specimens.specimen_count"])
+    )
+
+
 def _deployed(c: Cohort) -> SemanticQuery:
     """The same model over catalog views of the tables: a second place where it runs."""
     layer = semantic(c)

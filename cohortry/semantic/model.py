@@ -23,7 +23,11 @@ class ModelError(ValueError):
 
 @dataclass(frozen=True)
 class Field:
-    """A dimension or a fact: a named row-level Spark SQL expression."""
+    """A dimension or a fact: a named row-level Spark SQL expression.
+
+    With ``inputs``, (name, table, expression) each, ``expr`` is a template over these
+    names in braces, and is worked out where the tables have been joined.
+    """
 
     name: str
     expr: str
@@ -34,6 +38,7 @@ class Field:
     is_enum: bool = False
     private: bool = False
     description: str = ""
+    inputs: tuple[tuple[str, str, str], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -215,6 +220,7 @@ def _field(spec: dict[str, Any], kind: str) -> Field:
         is_enum=bool(spec.get("is_enum", False)),
         private=_is_private(spec),
         description=spec.get("description", ""),
+        inputs=tuple((n, *source.split(".", 1)) for n, source in (spec.get("inputs") or {}).items()),
     )
 
 
@@ -310,7 +316,8 @@ def _named(item: Any, **parts: Any) -> dict[str, Any]:
 
 def _field_spec(f: Field) -> dict[str, Any]:
     labels = ["filter"] if f.is_filter else None
-    return _named(f, expr=f.expr, data_type=f.data_type, labels=labels, is_enum=f.is_enum)
+    inputs = {n: f"{t}.{e}" for n, t, e in f.inputs} or None
+    return _named(f, expr=f.expr, data_type=f.data_type, labels=labels, is_enum=f.is_enum, inputs=inputs)
 
 
 def to_dict(model: SemanticModel) -> dict[str, Any]:

@@ -52,6 +52,29 @@ def _name(table: str, column: str) -> str:
     return f"{table}__{column}"
 
 
+def _tables_of(table: str, f: Field) -> set[str]:
+    """The tables that a field of ``table`` is worked out from."""
+    return {t for _, t, _ in f.inputs} or {table}
+
+
+Wanted = dict[str, dict[str, Column]]
+
+
+def _want(wanted: Wanted, table: str, f: Field, name: str) -> None:
+    """Ask for what a field needs, under its name or the names of its inputs."""
+    if not f.inputs:
+        wanted.setdefault(table, {})[name] = field_column(f)
+    for alias, t, expr in f.inputs:
+        wanted.setdefault(t, {})[f"{name}__{alias}"] = F.expr(expr)
+
+
+def _worked_out(frame: DataFrame, f: Field, name: str) -> DataFrame:
+    """The field under its name, once its inputs have been joined."""
+    if not f.inputs:
+        return frame
+    return frame.withColumn(name, F.expr(f.expr.format(**{alias: f"`{name}__{alias}`" for alias, _, _ in f.inputs})))
+
+
 class SemanticQuery:
     """Resolves names once and builds one plan per metric table."""
 
@@ -106,43 +129,48 @@ class SemanticQuery:
     ) -> DataFrame:
         """Rows of a metric's table that pass all filters, with its dimensions."""
         model = self.model
-        near = [r for r in restrictions if model.path(table.name, r.table) is not None]
+
+        def reached(owner: str, f: Field) -> bool:
+            return all(model.path(table.name, t) is not None for t in _tables_of(owner, f))
+
+        near = [r for r in restrictions if reached(r.table, r.field)]
         far = [r for r in restrictions if r not in near]
-        wanted: dict[str, dict[str, Column]] = {table.name: dict(inputs)}
+        wanted: Wanted = {table.name: dict(inputs)}
         for owner, f in dimensions:
-            if model.path(table.name, owner) is None:
+            if not reached(owner, f):
                 raise ModelError(
                     f"dimension {owner}.{f.name} is not reachable from {table.name}"
                 )
-            wanted.setdefault(owner, {})[_name(owner, f.name)] = field_column(f)
+            _want(wanted, owner, f, _name(owner, f.name))
         for r in near:
-            wanted.setdefault(r.table, {})[r.column] = field_column(r.field)
+            _want(wanted, r.table, r.field, r.column)
         if far:
             for k in table.primary_key:
                 wanted[table.name][_name(table.name, f"pk_{k}")] = F.col(k)
         frame = self.attach(table.name, wanted)
+        for owner, f in dimensions:
+            frame = _worked_out(frame, f, _name(owner, f.name))
         for r in near:
-            frame = frame.filter(r.test())
+            frame = _worked_out(frame, r.field, r.column).filter(r.test())
         if far:
             # All far filters must hold on one and the same child row.
-            child = model.bridge(table.name, {r.table for r in far})
+            child = model.bridge(table.name, {t for r in far for t in _tables_of(r.table, r.field)})
             keys = [_name(table.name, f"pk_{k}") for k in table.primary_key]
             needed = self._keys_from(child, table, keys)
-            for r in far:
-                needed.setdefault(r.table, {})[r.column] = field_column(r.field)
-            # Whether there is such a row is all that counts, so each of its keys goes once.
             rows = self.base(child)
             for r in far:
-                if r.table == child:
-                    rows = rows.withColumn(r.column, needed[child].pop(r.column)).filter(r.test())
-            foreign = {a for t in needed if t != child for a, _ in model.path(child, t)[0].columns}
-            last = model.path(child, table.name)[-1]
-            if last.many == child:
-                foreign |= {a for a, _ in last.columns}
-            rows = self.attach(child, needed, rows.select(*sorted(foreign)).distinct())
+                if r.table == child and not r.field.inputs:
+                    rows = rows.withColumn(r.column, field_column(r.field)).filter(r.test())
+                else:
+                    _want(needed, r.table, r.field, r.column)
+            # Whether there is such a row is all that counts, so each of its keys goes once.
+            mine = needed.pop(child, {})
+            foreign = {a for t in needed for a, _ in model.path(child, t)[0].columns}
+            rows = rows.select(*sorted(foreign), *[c.alias(n) for n, c in mine.items()]).distinct()
+            rows = self.attach(child, {**needed, child: {n: F.col(n) for n in mine}}, rows)
             for r in far:
-                if r.table != child:
-                    rows = rows.filter(r.test())
+                if r.table != child or r.field.inputs:
+                    rows = _worked_out(rows, r.field, r.column).filter(r.test())
             frame = frame.join(rows.select(*keys).distinct(), keys, "left_semi")
         return frame
 
@@ -283,34 +311,35 @@ class SemanticQuery:
         numbers and medians of types with many values, for filters on child tables,
         and where no parent is needed.
         """
-        away = {t for t, _ in dims} | {r.table for r in restrictions}
-        away.discard(table.name)
+        early = [r for r in restrictions if r.table == table.name and not r.field.inputs]
+        late = [r for r in restrictions if r not in early]
+        fields = [(t, f) for t, f in dims] + [(r.table, r.field) for r in late]
+        away = {x for t, f in fields for x in _tables_of(t, f)} - {table.name}
         paths = {t: self.model.path(table.name, t) for t in away}
         if not away or any(p is None for p in paths.values()):
             return None
         foreign = sorted({a for p in paths.values() for a, _ in p[0].columns})
-        own = {_name(t, f.name): field_column(f) for t, f in dims if t == table.name}
+        wanted: Wanted = {}
+        for t, f in dims:
+            _want(wanted, t, f, _name(t, f.name))
+        for r in late:
+            _want(wanted, r.table, r.field, r.column)
+        own = wanted.pop(table.name, {})
         rows = self.base(table.name)
-        for r in restrictions:
-            if r.table == table.name:
-                rows = rows.withColumn(r.column, field_column(r.field)).filter(r.test())
+        for r in early:
+            rows = rows.withColumn(r.column, field_column(r.field)).filter(r.test())
         rows = rows.select(
             *foreign, *[c.alias(n) for n, c in own.items()], *[c.alias(n) for n, c in inputs.items()]
         )
         if not all(mergeable(rows, m) for m in measures):
             return None
         counted = partial_stats(rows, [*foreign, *own], measures)
-        wanted = {table.name: {n: F.col(n) for n in (*own, *partial_names(measures))}}
-        for t, f in dims:
-            if t != table.name:
-                wanted.setdefault(t, {})[_name(t, f.name)] = field_column(f)
-        for r in restrictions:
-            if r.table != table.name:
-                wanted.setdefault(r.table, {})[r.column] = field_column(r.field)
+        wanted[table.name] = {n: F.col(n) for n in (*own, *partial_names(measures))}
         frame = self.attach(table.name, wanted, counted)
-        for r in restrictions:
-            if r.table != table.name:
-                frame = frame.filter(r.test())
+        for t, f in dims:
+            frame = _worked_out(frame, f, _name(t, f.name))
+        for r in late:
+            frame = _worked_out(frame, r.field, r.column).filter(r.test())
         return merged_stats(frame, keys, measures)
 
     def _result(self, owner: str | None, metric: Metric | DerivedMetric, round_pct: int | None) -> Column:
@@ -349,10 +378,9 @@ class SemanticQuery:
         for t in self.model.tables:
             attempt(f"table {t.name}", lambda t=t: self.base(t.name).select(*t.primary_key).schema)
             for f in t.fields:
-                attempt(
-                    f"field {t.name}.{f.name}",
-                    lambda t=t, f=f: self.base(t.name).select(field_column(f)).schema,
-                )
+                parts = [(x, F.expr(e)) for _, x, e in f.inputs] or [(t.name, field_column(f))]
+                for x, column in parts:
+                    attempt(f"field {t.name}.{f.name}", lambda x=x, column=column: self.base(x).select(column).schema)
             for m in t.metrics:
                 attempt(
                     f"metric {t.name}.{m.name}",
@@ -382,13 +410,14 @@ class SemanticQuery:
         ).select(F.lit(table).alias("table_name"), "n_rows", "repeated_keys", "null_keys")
 
     def filled(self) -> DataFrame:
-        """How many rows of its table each field fills; one pass per table."""
+        """How many rows of its table each field fills that is worked out from it alone; one pass per table."""
         frames = []
         for t in self.model.tables:
-            if not t.fields:
+            fields = [f for f in t.fields if not f.inputs]
+            if not fields:
                 continue
-            names = [f.name for f in t.fields]
-            counts = self.base(t.name).agg(*[F.count(field_column(f)).alias(f.name) for f in t.fields])
+            names = [f.name for f in fields]
+            counts = self.base(t.name).agg(*[F.count(field_column(f)).alias(f.name) for f in fields])
             pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("filled")) for n in names])
             frames.append(counts.select(F.lit(t.name).alias("table_name"), F.inline(pairs)))
         return reduce(DataFrame.unionByName, frames)
