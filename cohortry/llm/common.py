@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,19 @@ def packed(rows: DataFrame, **columns: Column) -> DataFrame:
 
 
 Computed = dict[str, list]
+# Texts that become Python strings at a time, beyond the first.
+SLICE_BYTES = 8 * 2**20
+
+
+def slices(batch: pa.RecordBatch, text: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose texts have ``most`` bytes together, or are one text; no part without rows."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).cumsum(dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = int(sizes[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, before + most, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def with_computed(
@@ -67,7 +82,7 @@ def with_computed(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in slices(whole_batch, at)):
             found = compute(batch.column(at).to_pylist())
             new = [pa.array(found[n], type=t) for n, t in zip(added.names, types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + new, names=keep + added.names)

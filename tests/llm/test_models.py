@@ -131,6 +131,20 @@ def test_letters_marks_and_short_training_texts(spark):
     assert [r.lang_pred for r in judged.orderBy("doc_id").collect()] == ["zz", "und"]
 
 
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from cohortry.llm.common import slices
+
+    texts = ["a" * 10, None, "b" * 3, "c" * 50, "", "d" * 5, None]
+    batch = pa.record_batch({"id": list(range(7)), "t": pa.array(texts, pa.string())})
+    parts = list(slices(batch, 1, most=13))
+    assert [p.num_rows for p in parts] == [3, 1, 3]
+    assert [x for p in parts for x in p.column(1).to_pylist()] == texts
+    assert [p.num_rows for p in slices(batch, 1)] == [7] and list(slices(batch.slice(0, 0), 1)) == []
+    assert [p.num_rows for p in slices(batch.slice(2, 3), 1, most=1)] == [1, 1, 1]
+
+
 def test_folding_and_exceptions():
     lexicon = toxicity.Lexicon([("idiot", True, 3.0), ("scum", False, 2.0)], exceptions=("idiot proof",))
     hits = lambda text: lexicon.hits(toxicity.fold(text))
