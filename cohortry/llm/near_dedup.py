@@ -13,7 +13,8 @@ at four levels and at all eight (more similar pairs far more rarely).
 Equal sets are merged first, so a group of copies is one row whatever its size.
 Candidates of the trees whose minwise tokens agree too rarely are set aside (a pair
 at the threshold with a chance of 0.0001); the others are confirmed on full sets.
-In a dense node every member is first compared to a few of them. Members that are
+In a dense node every member is first compared to a few of them, and members outside
+the node's largest component to some inside it, in a few turns. Members that are
 still in another component than the node's largest are then joined exactly with
 all members of other components: similar sets share one of their rarest tokens,
 so that no pair of a dense node stays undecided and few are compared.
@@ -51,6 +52,8 @@ SMALL_NODE = 16
 DENSE_SHARE = 0.5
 # A node of whose probes at least this share is close to a centre holds a group of near copies.
 ALIKE_SHARE, PROBES = 0.25, 32
+# Turns in which members outside the largest component of a dense node meet so many inside it, if it has this share.
+SETTLING_TURNS, SETTLERS, SETTLED_SHARE = 3, 8, 0.1
 BLOCK = 4096
 
 
@@ -204,13 +207,18 @@ def small_pairs(small: DataFrame) -> DataFrame:
 
 
 def first_of_nodes(rows: DataFrame, k: int) -> DataFrame:
-    """(node, cid, at): the ``k`` members of each node with the smallest hashes, numbered from 1.
+    """(node, cid, at): the ``k`` most central members of each node, numbered from 1.
 
-    The hash is the same for all nodes, so nodes with the same group of copies choose
+    The copy that others were made from has the minwise tokens that most of them have,
+    so it lies in more and larger nodes than they do, and most of them are close to it.
+    The order is the same for all nodes, so nodes with the same group of copies choose
     the same members, and pairs of them recur.
     """
-    drawn = Window.partitionBy("node").orderBy(F.xxhash64("cid"), "cid")
-    return rows.select("node", "cid").withColumn("at", F.row_number().over(drawn)).filter(F.col("at") <= k)
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
+    weights = rows.select("node", "cid").join(sizes, "node").groupBy("cid").agg(F.sum("size").alias("weight"))
+    drawn = Window.partitionBy("node").orderBy(F.desc("weight"), F.xxhash64("cid"), "cid")
+    weighed = rows.select("node", "cid").join(weights, "cid")
+    return weighed.select("node", "cid", F.row_number().over(drawn).alias("at")).filter(F.col("at") <= k)
 
 
 def with_centers(rows: DataFrame, first: DataFrame) -> DataFrame:
@@ -225,13 +233,32 @@ def star_pairs(dense: DataFrame) -> DataFrame:
     return with_centers(dense, first_of_nodes(dense, CENTERS)).select("a", "b")
 
 
-def unsettled(dense: DataFrame, labels: DataFrame) -> DataFrame:
-    """(cid, comp) of members that some dense node holds outside its largest component."""
+def by_component(dense: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, cid, comp, top, share): the node's largest component and its share of the node's rows."""
     named = dense.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     per_comp = named.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("n"))
-    largest = per_comp.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"))
-    apart = named.join(largest.select("node", F.col("top.comp").alias("top")), "node")
-    return apart.filter(F.col("comp") != F.col("top")).select("cid", "comp").distinct()
+    largest = per_comp.groupBy("node").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("size"))
+    largest = largest.select("node", F.col("top.comp").alias("top"), (F.col("top.n") / F.col("size")).alias("share"))
+    return named.join(largest, "node").select("node", "cid", "comp", "top", "share")
+
+
+def settling_pairs(dense: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Members outside a node's largest component with some members inside it, others each turn.
+
+    Near copies of one text need not be near their centres, but each is near many of
+    the others. Nodes without a component of some size have nothing to settle into.
+    """
+    named = checkpointed(by_component(dense, labels).filter(F.col("share") >= SETTLED_SHARE))
+    inside, outside = (named.filter(c) for c in (F.col("comp") == F.col("top"), F.col("comp") != F.col("top")))
+    drawn = Window.partitionBy("of").orderBy(F.xxhash64(F.lit(turn), "other"), "other")
+    some = inside.select(F.col("node").alias("of"), F.col("cid").alias("other")).withColumn("at", F.row_number().over(drawn))
+    met = outside.join(some.filter(F.col("at") <= SETTLERS), F.col("node") == F.col("of"))
+    return met.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b"))
+
+
+def unsettled(dense: DataFrame, labels: DataFrame) -> DataFrame:
+    """(cid, comp) of members that some dense node holds outside its largest component."""
+    return by_component(dense, labels).filter(F.col("comp") != F.col("top")).select("cid", "comp").distinct()
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
@@ -354,6 +381,12 @@ def near_duplicates(
     edges = checkpointed(confirmed(pairs, sets, percent))
     labels = components(edges)
     if not dense.isEmpty():
+        for turn in range(SETTLING_TURNS):
+            found = checkpointed(confirmed(likely(settling_pairs(dense, labels, turn), classes, percent), sets, percent))
+            if found.isEmpty():
+                break
+            edges = checkpointed(edges.union(found))
+            labels = components(edges)
         more = checkpointed(of_like_sizes(open_pairs(dense, labels, sets, percent), classes, percent))
         edges = edges.union(confirmed(more, sets, percent))
         labels = components(edges)
