@@ -1,7 +1,8 @@
 """Corpus preparation in stages; each stage is written as Parquet and read by the next.
 
 STAGES lists (name, function); a function takes (spark, docs, folder) and
-returns a DataFrame. ORACLE_SQL is None, as SQL cannot express the stages.
+returns a DataFrame. ORACLE_SQL is None, as SQL cannot express the stages. An empty
+table passes through all stages; extra columns come through all but the last.
 """
 
 from __future__ import annotations
@@ -22,27 +23,44 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go.
+
+    NULL and empty texts are scored like any other; repeated rows go or stay together.
+    """
     return without_toxic(docs, model_for(spark, docs, folder))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
+    """One document of each group of near duplicates stays: the one with the smallest id.
+
+    Rows that repeat an id and its text stay once; texts without words are near
+    nothing and stay; a group without any id keeps its rows.
+    """
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold an item of the benchmark go."""
+    """Documents that hold an item of the benchmark go.
+
+    NULL and empty texts hold none; without items all stay.
+    """
     return without_leaks(docs, table(spark, folder, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents drawn, and repeated where rare, so that sources, languages and topics meet their target weights."""
+    """Documents drawn, and repeated where rare, so that sources, languages and topics meet their target weights.
+
+    So a row may come out several times, 16 at most. NULL classes are one more class;
+    NULL and empty texts share the fate of their cell; repeated rows share theirs.
+    """
     return repeated(mix(docs)).select("row.*")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """What is left, in shards of near equal bytes."""
+    """What is left, in shards of near equal bytes: one place for each row.
+
+    Equal texts, so also repeated rows, share a shard; NULL texts count one byte.
+    """
     return shard_documents(docs)
 
 
