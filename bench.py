@@ -25,10 +25,10 @@ HEADLINE = (
     "calls_by_gene_assay", "reportable_view", "actionable_cohort", "cohort_writeback",
     "clustered_write_scan", "typed_load", "top_call_per_specimen", "vaf_trajectory",
     "rising_by_gene", "numbered_draws", "tumor_fraction_median", "confidence_score",
-    "confidence_score_udf", "top_confidence", "hash_sample", "training_frame",
+    "confidence_score_udf", "top_confidence", "top_confidence_sql", "hash_sample", "training_frame",
     "stratified_split", "auc_by_rank", "lr_scores", "text_extract", "text_classify",
     "text_themes", "report_assembly", "sv_actionable", "sv_burden", "sv_yield",
-    "sv_call_metrics", "rf_scores", "gbt_scores", "model_score", "model_flag_rate",
+    "sv_call_metrics", "sv_significance", "rf_scores", "gbt_scores", "model_score", "model_flag_rate",
 )
 # Trainings take long and vary little; they run once.
 ONCE = {"lr_scores", "rf_scores", "gbt_scores", "model_score", "model_flag_rate"}
