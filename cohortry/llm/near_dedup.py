@@ -14,7 +14,7 @@ Equal sets are merged first, so a group of copies is one row whatever its size.
 Candidates of the trees whose minwise tokens agree too rarely are set aside (a pair
 at the threshold with a chance of 0.0001); the others are confirmed on full sets.
 In a dense node every member is first compared to a few of them, and members outside
-the node's largest component to some inside it, in a few turns. Members that are
+the node's largest component to some inside it. Members that are
 still in another component than the node's largest are then joined exactly with
 all members of other components: similar sets share one of their rarest tokens,
 so that no pair of a dense node stays undecided and few are compared.
@@ -53,7 +53,7 @@ DENSE_SHARE = 0.5
 # A node of whose probes at least this share is close to a centre holds a group of near copies.
 ALIKE_SHARE, PROBES = 0.25, 32
 # Turns in which members outside the largest component of a dense node meet so many inside it, if it has this share.
-SETTLING_TURNS, SETTLERS, SETTLED_SHARE = 3, 8, 0.1
+SETTLING_TURNS, SETTLERS, SETTLED_SHARE = 1, 8, 0.1
 BLOCK = 4096
 
 
