@@ -17,7 +17,10 @@ In a dense node every member is first compared to a few of them, and members out
 the node's largest component to some inside it. Members that are
 still in another component than the node's largest are then joined exactly with
 all members of other components: similar sets share one of their rarest tokens,
-so that no pair of a dense node stays undecided and few are compared.
+so that no pair of a dense node stays undecided and few are compared. Two sets differ
+in at least as many shingles as their parity bits do, so the join itself drops pairs
+whose bits differ too much; copies that are near many others without reaching the
+threshold do not become pairs. (Sets of far more shingles than bits gain little.)
 
 Defined cases: NULL and empty texts, and texts without words, have no shingle and
 stand alone; rows that repeat an id keep their rows and share the id; a component
@@ -53,7 +56,9 @@ DENSE_SHARE = 0.5
 # A node of whose probes at least this share is close to a centre holds a group of near copies.
 ALIKE_SHARE, PROBES = 0.25, 32
 # Turns in which members outside the largest component of a dense node meet so many inside it, if it has this share.
-SETTLING_TURNS, SETTLERS, SETTLED_SHARE = 1, 8, 0.1
+SETTLING_TURNS, SETTLERS, SETTLED_SHARE = 1, 64, 0.1
+# Bits of a set in the joins of dense nodes, a power of two: 16 numbers next to each row.
+PARITY_BITS = 1024
 BLOCK = 4096
 
 
@@ -72,6 +77,17 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """``PARITY_BITS`` bits as 64-bit numbers: whether an odd number of shingles falls on the bit.
+
+    What two sets share cancels out, and a shingle that only one has turns one bit.
+    So two sets differ in at least as many shingles as in bits.
+    """
+    places = shingles >> np.uint64(64 - PARITY_BITS.bit_length() + 1)
+    odd = np.bincount(places.astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def described(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
     """doc_id, text_hash, n_shingles, k1, k2, tokens for each row."""
 
@@ -99,7 +115,7 @@ def described(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
-    """(cid, shingles), one row for each class in ``wanted`` (cid, rep, k1, k2, again), from the texts that stand for them.
+    """(cid, n, bits, shingles), one row for each class in ``wanted`` (cid, rep, k1, k2, again), from the texts that stand for them.
 
     Rows that repeat an id and its text, and rows without id, give a set more than
     once; only classes of several rows (``again``) are looked through for that.
@@ -108,7 +124,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, wor
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            cids, again, sets = [], [], []
+            cids, again, sets, bits = [], [], [], []
             for cid, k1, more, t in zip(batch["cid"], batch["k1"], batch["again"], batch["text"], strict=True):
                 found = shingle_set(hashes.of(word_list(t, lower=True)), words)
                 # A repeated id may also name another text.
@@ -116,17 +132,17 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, wor
                     cids.append(cid)
                     again.append(more)
                     sets.append(found.view(np.int64))
+                    bits.append(parity(found))
             if cids:
-                yield pd.DataFrame({"cid": cids, "again": again, "shingles": sets})
+                yield pd.DataFrame({"cid": cids, "again": again, "n": [len(s) for s in sets], "bits": bits, "shingles": sets})
 
     texts = docs.select(F.col(doc_id).cast("bigint").alias("rep"), F.col(text).alias("text"))
     # NULL ids may stand for a class, too.
     joined = texts.join(wanted.withColumnRenamed("rep", "_rep"), F.col("rep").eqNullSafe(F.col("_rep")))
-    sets = checkpointed(
-        joined.select("cid", "k1", "again", "text").mapInPandas(run, "cid long, again boolean, shingles array<long>")
-    )
+    fields = "cid long, again boolean, n int, bits array<long>, shingles array<long>"
+    sets = checkpointed(joined.select("cid", "k1", "again", "text").mapInPandas(run, fields))
     once = checkpointed(sets.filter("again").dropDuplicates(["cid"]))
-    return sets.filter("NOT again").union(once).select("cid", "shingles")
+    return sets.filter("NOT again").union(once).select("cid", "n", "bits", "shingles")
 
 
 def _children(key: F.Column, level: int) -> F.Column:
@@ -242,18 +258,33 @@ def by_component(dense: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(largest, "node").select("node", "cid", "comp", "top", "share")
 
 
-def settling_pairs(dense: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Members outside a node's largest component with some members inside it, others each turn.
+def few_apart(x: str, y: str, percent: int) -> F.Column:
+    """Whether parity bits allow two sets, with ``_n`` and ``_bits`` after their names, to be similar; no similar pair fails."""
+    apart = F.lit(0)
+    for i in range(PARITY_BITS // 64):
+        apart = apart + F.bit_count(F.get(f"{x}_bits", F.lit(i)).bitwiseXOR(F.get(f"{y}_bits", F.lit(i))))
+    return apart * (100 + percent) <= (F.col(f"{x}_n") + F.col(f"{y}_n")) * (100 - percent)
+
+
+def settling_pairs(dense: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Members outside a node's largest component with some members inside it, others each turn, if their bits allow it.
 
     Near copies of one text need not be near their centres, but each is near many of
-    the others. Nodes without a component of some size have nothing to settle into.
+    the others, so few of them are left for the exact join. Nodes without a component
+    of some size have nothing to settle into.
     """
-    named = checkpointed(by_component(dense, labels).filter(F.col("share") >= SETTLED_SHARE))
-    inside, outside = (named.filter(c) for c in (F.col("comp") == F.col("top"), F.col("comp") != F.col("top")))
-    drawn = Window.partitionBy("of").orderBy(F.xxhash64(F.lit(turn), "other"), "other")
-    some = inside.select(F.col("node").alias("of"), F.col("cid").alias("other")).withColumn("at", F.row_number().over(drawn))
-    met = outside.join(some.filter(F.col("at") <= SETTLERS), F.col("node") == F.col("of"))
-    return met.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b"))
+    named = by_component(dense, labels).filter(F.col("share") >= SETTLED_SHARE)
+    named = checkpointed(named.join(sets.select("cid", "n", "bits"), "cid"))
+
+    def side(where: F.Column, name: str) -> DataFrame:
+        own = [F.col(c).alias(new) for c, new in (("cid", name), ("n", f"{name}_n"), ("bits", f"{name}_bits"))]
+        return named.filter(where).select(F.col("node").alias(f"{name}_node"), *own)
+
+    drawn = Window.partitionBy("y_node").orderBy(F.xxhash64(F.lit(turn), "y"), "y")
+    some = side(F.col("comp") == F.col("top"), "y").withColumn("at", F.row_number().over(drawn)).filter(F.col("at") <= SETTLERS)
+    same_node = F.col("x_node") == F.col("y_node")
+    met = side(F.col("comp") != F.col("top"), "x").join(some, same_node).filter(few_apart("x", "y", percent))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def unsettled(dense: DataFrame, labels: DataFrame) -> DataFrame:
@@ -281,30 +312,26 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def open_pairs(dense: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs that may be similar of an unsettled member and a member of another component."""
+    """All pairs that may be similar of an unsettled member and a member of another component.
+
+    A pair comes once for each of the rarest tokens it shares. Nothing is left to chance.
+    """
     rest = checkpointed(unsettled(dense, labels))
-    members = dense.select("cid").distinct().join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    named = dense.select("cid").distinct().join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    members = checkpointed(named.join(sets.select("cid", "bits"), "cid"))
     chosen = checkpointed(prefixes(sets.join(members, "cid", "left_semi"), percent))
-    one = chosen.join(rest, "cid").select(
-        "token", F.col("cid").alias("x"), F.col("comp").alias("x_comp"), F.col("at").alias("x_at"), F.col("n").alias("x_n")
-    )
-    two = chosen.join(members, "cid").select(
-        "token", F.col("cid").alias("y"), F.col("comp").alias("y_comp"), F.col("at").alias("y_at"), F.col("n").alias("y_n")
-    )
-    # No token before the first shared one is shared, so from it on enough tokens must be left.
-    left = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
-    enough = left * (100 + percent) >= (F.col("x_n") + F.col("y_n")) * percent
-    met = one.join(two, "token").filter((F.col("x_comp") != F.col("y_comp")) & enough)
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
+    def side(of: DataFrame, name: str) -> DataFrame:
+        own = {"cid": name, "comp": f"{name}_comp", "at": f"{name}_at", "n": f"{name}_n", "bits": f"{name}_bits"}
+        return chosen.join(of, "cid").select("token", *(F.col(c).alias(new) for c, new in own.items()))
 
-def of_like_sizes(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs that sizes allow to be similar; nothing is left to chance."""
-    sizes = classes.select("cid", "n_shingles")
-    one, two = (sizes.select(F.col("cid").alias(x), F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
-    both = pairs.distinct().join(one, "a").join(two, "b")
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    return both.filter(fits).select("a", "b")
+    one, two = side(members.join(rest.select("cid"), "cid", "left_semi"), "x"), side(members, "y")
+    # No token before the first shared one is shared, so from it on enough tokens must be left.
+    left, total = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")), F.col("x_n") + F.col("y_n")
+    enough = left * (100 + percent) >= total * percent
+    differ = F.col("x_comp") != F.col("y_comp")
+    met = one.join(two, "token").filter(differ & enough & few_apart("x", "y", percent))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -382,12 +409,12 @@ def near_duplicates(
     labels = components(edges)
     if not dense.isEmpty():
         for turn in range(SETTLING_TURNS):
-            found = checkpointed(confirmed(likely(settling_pairs(dense, labels, turn), classes, percent), sets, percent))
+            found = checkpointed(confirmed(settling_pairs(dense, labels, sets, percent, turn), sets, percent))
             if found.isEmpty():
                 break
             edges = checkpointed(edges.union(found))
             labels = components(edges)
-        more = checkpointed(of_like_sizes(open_pairs(dense, labels, sets, percent), classes, percent))
+        more = checkpointed(open_pairs(dense, labels, sets, percent).distinct())
         edges = edges.union(confirmed(more, sets, percent))
         labels = components(edges)
     named = classes.select("k1", "k2", "cid", "rep").join(labels, "cid", "left").withColumn(

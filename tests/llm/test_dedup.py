@@ -188,3 +188,35 @@ def test_rows_of_a_level_do_not_grow_on_a_large_group(spark, share):
     first = 2 * near_dedup.TREES * len(rows)
     assert dense.count() + small.count() <= 2 * first
     assert near_dedup.star_pairs(dense).distinct().count() <= 40 * len(rows)
+
+
+def test_copies_that_miss_the_threshold_are_no_pairs(spark, monkeypatch):
+    """400 copies of an absent text: any two of 300 with two edits are similar, none to one of 100 with three edits elsewhere."""
+    base, draw, rows = prose(41, 150).split(), np.random.default_rng(6), []
+    for i in range(400):
+        w = list(base)
+        for at in draw.permutation(18)[:2] if i < 300 else 18 + draw.permutation(18)[:3]:
+            w[4 * at + 3] = f"edit{i}x{at}"
+        rows.append((i, " ".join(w)))
+    made, join = [], near_dedup.open_pairs
+
+    def counted(*given):
+        found = checkpointed(join(*given))
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_dedup, "open_pairs", counted)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()
+    assert sortable((r.doc_id, r.n_shingles, r.component_id) for r in got) == sortable(brute_components(rows, 4))
+    # The similar ones among the 100 may come once for each rare token they share.
+    assert made[0] <= 10 * len(rows)
+
+
+def test_parity_bits_never_differ_more_than_sets():
+    draw = np.random.default_rng(8)
+    for size in (1, 30, 150, 5000):
+        for own in (0, 1, size // 5, size):
+            both, one, two = (draw.integers(0, 2**64, n, dtype=np.uint64) for n in (size, own, own))
+            x, y = (near_dedup.parity(np.union1d(both, s)) for s in (one, two))
+            assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(np.setxor1d(one, two))
+            assert len(x) * 64 == near_dedup.PARITY_BITS
